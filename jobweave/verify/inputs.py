@@ -218,8 +218,8 @@ postings as (
            b.day as ingestion_date,
            b.seen as seen_at,
            b.o_orderkey as ingest_seq
-    from (select base.* from base) b
-    join part e on e.p_partkey = b.employer_no
+    from base b
+    join (select p_partkey, p_name, p_brand from part) e on e.p_partkey = b.employer_no
     join documents d on d.doc_id = b.doc_no
 )"""
 
