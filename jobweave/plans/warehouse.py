@@ -14,8 +14,8 @@ from jobweave.sources.tables import materialize_table, stage
 class Warehouse:
     """Models over one pair of raw inputs.
 
-    ``keep`` stores the two models with several readers: the enriched postings
-    and the estimates. Everything else stays a plan until it is read.
+    ``keep`` stores the models with several readers: the enriched postings, the
+    estimates and the dimensions. Everything else stays a plan until it is read.
     """
 
     def __init__(
@@ -56,15 +56,17 @@ class Warehouse:
 
     @cached_property
     def dim_job_title(self) -> DataFrame:
-        return dimensions.dim_job_title(self.int_job_titles_normalized)
+        return self._keep(dimensions.dim_job_title(self.int_job_titles_normalized), "dim_job_title")
 
     @cached_property
     def dim_location(self) -> DataFrame:
-        return dimensions.dim_location(self.int_jobs_enriched, self.int_salary_estimates)
+        return self._keep(
+            dimensions.dim_location(self.int_jobs_enriched, self.int_salary_estimates), "dim_location"
+        )
 
     @cached_property
     def dim_company(self) -> DataFrame:
-        return dimensions.dim_company(self.int_jobs_enriched)
+        return self._keep(dimensions.dim_company(self.int_jobs_enriched), "dim_company")
 
     @cached_property
     def int_company_duplicates(self) -> DataFrame:
