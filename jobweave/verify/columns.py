@@ -29,10 +29,12 @@ def _columns(
     source: str,
     columns: dict[str, tuple[Callable[[], Column], str]],
     where: tuple[Callable[[], Column], str] | None = None,
+    first: dict[str, Callable[[], Column]] | None = None,
 ) -> None:
     """Register a projection of a derived input, in Spark and in SQL.
 
     Columns come as functions, since building one needs a running session.
+    ``first`` names columns that several others use, so each is computed once.
     """
     selected = ", ".join(f"{sql} as {alias}" for alias, (_, sql) in columns.items())
     condition = f" where {where[1]}" if where else ""
@@ -40,6 +42,8 @@ def _columns(
     @query(name, f"{INPUT_SQL} select ingest_seq, {selected} from {source}{condition}")
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         df = getattr(inputs, source)(spark, sf_dir)
+        for alias, make in (first or {}).items():
+            df = df.withColumn(alias, make())
         if where:
             df = df.filter(where[0]())
         return df.select("ingest_seq", *[make().alias(alias) for alias, (make, _) in columns.items()])
@@ -141,11 +145,12 @@ def b12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.filter((c("open_total") > 3) | c("filled_total").isNotNull())
 
 
-_quality_col = lambda: quality.posting_quality(
-    location.location_quality("job_is_remote", "job_city", "job_country"),
-    keys.job_title_key(title.normalize_job_title("job_title")),
-    _company_key(),
-)
+_prepared = {
+    "_place": lambda: location.location_quality("job_is_remote", "job_city", "job_country"),
+    "_title_key": lambda: keys.job_title_key(title.normalize_job_title("job_title")),
+    "_company": lambda: _company_key(),
+}
+_quality_col = lambda: quality.posting_quality("_place", "_title_key", "_company")
 _quality_sql = d.posting_quality(
     f"({d.place_quality('job_is_remote', 'job_city', 'job_country')})",
     f"({d.title_key(d.norm_title('job_title'))})",
@@ -159,7 +164,8 @@ _quality_sql = d.posting_quality(
     f"(select ingest_seq, {_quality_sql} as record_quality from postings) where record_quality in ('high', 'medium')",
 )
 def b13(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = inputs.postings(spark, sf_dir).select("ingest_seq", _quality_col().alias("record_quality"))
+    df = inputs.postings(spark, sf_dir).withColumns({n: make() for n, make in _prepared.items()})
+    df = df.select("ingest_seq", _quality_col().alias("record_quality"))
     return marts.good_quality(df, ["high", "medium"])
 
 
@@ -175,13 +181,14 @@ _title = lambda: title.normalize_job_title("job_title")
 _title_sql = d.norm_title("job_title")
 _columns("c1_normalize_job_title", "postings", {"title_normalized": (lambda: _title(), _title_sql)})
 _columns("c2_seniority_level", "postings",
-         {"seniority_level": (lambda: title.derive_seniority_level(_title()), d.seniority(_title_sql))})
+         {"seniority_level": (lambda: title.derive_seniority_level("_t"), d.seniority(_title_sql))},
+         first={"_t": lambda: _title()})
 _columns("c3_seniority_rank", "postings", {
     "seniority_rank": (lambda: 
-        title.derive_seniority_rank(title.derive_seniority_level(_title())),
+        title.derive_seniority_rank("_level"),
         d.seniority_rank(f"({d.seniority(_title_sql)})"),
     ),
-})
+}, first={"_t": lambda: _title(), "_level": lambda: title.derive_seniority_level("_t")})
 _columns("c4_employer_name", "postings", {
     "company_name_clean": (lambda: company.employer_name_normalization("employer_name"), d.employer("employer_name")),
 })
@@ -332,14 +339,19 @@ _spread_sql = f"({d.percent('(max_salary - min_salary)', 'median_salary', 1)})"
 _reliability = lambda: salary.estimate_reliability("confidence", "salary_count", "median_salary", _spread())
 _reliability_sql = f"({d.reliability('confidence', 'salary_count', 'median_salary', _spread_sql)})"
 _columns("c26_estimate_reliability", "estimates", {"estimate_reliability": (lambda: _reliability(), _reliability_sql)})
-_columns("c27_posting_quality", "postings", {"record_quality": (lambda: _quality_col(), _quality_sql)})
+_columns("c27_posting_quality", "postings", {"record_quality": (lambda: _quality_col(), _quality_sql)},
+         first=_prepared)
 _key = lambda: keys.job_title_key(_title(), "job_title")
 _key_sql = f"({d.title_key(_title_sql)})"
 _columns("c28_estimate_quality", "estimates", {
     "record_quality": (lambda: 
-        quality.estimate_quality(location.parsed_location_key(_parts()), _key(), "median_salary", _reliability()),
+        quality.estimate_quality("_place", "_title_key", "median_salary", "_level"),
         d.estimate_quality(f"({_place['key']})", _key_sql, "median_salary", _reliability_sql),
     ),
+}, first={
+    "_place": lambda: location.parsed_location_key(_parts()),
+    "_title_key": lambda: _key(),
+    "_level": lambda: _reliability(),
 })
 _columns("c29_unknown_flags", "postings", {
     "is_title_unknown": (lambda: quality.is_unknown_title(_key()), f"{_key_sql} = -1"),
@@ -395,15 +407,15 @@ ROLES = ("ingest_seq % 24", {
 _role = lambda: inputs._pick(*ROLES)
 _role_sql = f"({inputs._sql_pick(*ROLES)})"
 _columns("c37_role_family", "postings", {
-    "role_family": (lambda: roles.role_family(_title()), d.role_family(_title_sql)),
-    "other_family": (lambda: roles.role_family(_role()), d.role_family(_role_sql)),
-})
+    "role_family": (lambda: roles.role_family("_t"), d.role_family(_title_sql)),
+    "other_family": (lambda: roles.role_family("_r"), d.role_family(_role_sql)),
+}, first={"_t": lambda: _title(), "_r": lambda: _role()})
 _columns("c38_role_flags", "postings", {
-    "is_management": (lambda: roles.is_management(_title()), d.is_management(_title_sql)),
-    "is_technical": (lambda: roles.is_technical(_title()), d.is_technical(_title_sql)),
-    "other_is_management": (lambda: roles.is_management(_role()), d.is_management(_role_sql)),
-    "other_is_technical": (lambda: roles.is_technical(_role()), d.is_technical(_role_sql)),
-})
+    "is_management": (lambda: roles.is_management("_t"), d.is_management(_title_sql)),
+    "is_technical": (lambda: roles.is_technical("_t"), d.is_technical(_title_sql)),
+    "other_is_management": (lambda: roles.is_management("_r"), d.is_management(_role_sql)),
+    "other_is_technical": (lambda: roles.is_technical("_r"), d.is_technical(_role_sql)),
+}, first={"_t": lambda: _title(), "_r": lambda: _role()})
 
 
 @query(
