@@ -21,43 +21,47 @@ MAX_DISTANCE = 4
 MAX_LENGTH_GAP = 6
 
 
-def _piece_bounds(length: str, pieces: int, i: int) -> tuple[str, str]:
-    """SQL for 1-based start and size of piece i of an even cut."""
-    start = f"cast({i} * {length} div {pieces} + 1 as int)"
-    size = f"cast({i + 1} * {length} div {pieces} - {i} * {length} div {pieces} as int)"
+def _cut(length: str, piece: str, pieces: int) -> tuple[Column, Column]:
+    """1-based start and size of a piece of an even cut."""
+    start = F.expr(f"cast({piece} * {length} div {pieces} + 1 as int)")
+    size = F.expr(f"cast(({piece} + 1) * {length} div {pieces} - {piece} * {length} div {pieces} as int)")
     return start, size
 
 
 def _index_pieces(names: DataFrame, tau: int) -> DataFrame:
-    pieces = tau + 1
-    parts = []
-    for i in range(pieces):
-        start, size = _piece_bounds("_n", pieces, i)
-        parts.append(f"struct({i} as piece, substring(_rest, {start}, {size}) as text)")
-    return names.filter(f"_n >= {pieces}").select(
-        "*", F.inline(F.expr(f"array({', '.join(parts)})"))
-    )
+    """The pieces of each name long enough to cut."""
+    start, size = _cut("_n", "piece", tau + 1)
+    numbered = names.filter(F.col("_n") > tau).select("*", F.explode(F.sequence(F.lit(0), F.lit(tau))).alias("piece"))
+    return numbered.withColumn("text", F.substring("_rest", start, size))
 
 
 def _probe_pieces(names: DataFrame, tau: int) -> DataFrame:
-    """Substrings of each name that may equal a piece of a name ``gap`` shorter."""
-    pieces = tau + 1
-    parts = []
-    for gap in range(tau + 1):
-        for i in range(pieces):
-            start, size = _piece_bounds(f"(_n - {gap})", pieces, i)
-            # Of all alignments only those remain that leave at most i edits to
-            # the left of piece i and at most tau - i to its right.
-            low = f"greatest(1, {start} - {i}, {start} + {gap} - {tau - i})"
-            high = f"least(_n - {size} + 1, {start} + {i}, {start} + {gap} + {tau - i})"
-            spots = f"if({low} <= {high}, sequence({low}, {high}), array())"
-            parts.append(
-                f"if(_n - {gap} >= {pieces}, transform({spots}, "
-                f"p -> struct(cast(_n - {gap} as int) as _m, {i} as piece, "
-                f"substring(_rest, p, {size}) as text)), array())"
-            )
-    probes = F.expr(f"array_distinct(flatten(array({', '.join(parts)})))")
-    return names.select("*", F.inline(probes))
+    """Substrings of each name that may equal a piece of a name ``_m`` long."""
+    steps = F.sequence(F.lit(0), F.lit(tau))
+    cases = (
+        names.select("*", F.explode(steps).alias("_gap"))
+        .withColumn("_m", F.col("_n") - F.col("_gap"))
+        .filter(F.col("_m") > tau)
+        .select("*", F.explode(steps).alias("piece"))
+    )
+    start, size = _cut("_m", "piece", tau + 1)
+    cases = cases.withColumns({"_start": start, "_size": size})
+    # Of all alignments only those remain that leave at most ``piece`` edits to
+    # the left of the piece and at most ``tau - piece`` to its right.
+    right = F.lit(tau) - F.col("piece")
+    low = F.greatest(
+        F.lit(1), F.col("_start") - F.col("piece"), F.col("_start") + F.col("_gap") - right
+    )
+    high = F.least(
+        F.col("_n") - F.col("_size") + 1,
+        F.col("_start") + F.col("piece"),
+        F.col("_start") + F.col("_gap") + right,
+    )
+    cases = cases.withColumns({"_low": low, "_high": high}).filter(F.col("_low") <= F.col("_high"))
+    spots = cases.select("*", F.explode(F.sequence("_low", "_high")).alias("_at"))
+    return spots.withColumn("text", F.substring("_rest", F.col("_at"), F.col("_size"))).drop(
+        "_gap", "_start", "_size", "_low", "_high", "_at"
+    )
 
 
 def _side(df: DataFrame, suffix: str, extra: list[str] | None = None) -> DataFrame:
@@ -124,7 +128,8 @@ def similar_pairs(names: DataFrame, key: str, name: str, max_distance: int = MAX
         F.when(swap, F.col("name_a")).otherwise(F.col("name_b")).alias("name_b"),
         "edit_distance",
     )
-    return ordered.dropDuplicates(["key_a", "key_b"])
+    # the other columns follow from the two keys, so this is one row per pair
+    return ordered.distinct()
 
 
 def same_site(a: Column, b: Column) -> Column:

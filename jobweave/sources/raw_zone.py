@@ -84,25 +84,28 @@ def scan_jsonl_tolerant(
     object counts as bad.
     """
     full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    reader = (
-        spark.read.schema(full)
-        .option("recursiveFileLookup", True)
+    lines = (
+        spark.read.option("recursiveFileLookup", True)
         .option("pathGlobFilter", glob)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
+        .text(root)
+        .select(
+            "value",
+            F.col("_metadata.file_path").alias("_file_path"),
+            F.struct(
+                F.col("_metadata.file_block_start").alias("block"),
+                F.monotonically_increasing_id().alias("line"),
+            ).alias("_line_id"),
+        )
+        .filter(F.trim("value") != "")
     )
-    rows = reader.json(root).select(
-        "*",
-        F.col("_metadata.file_path").alias("_file_path"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_seq"),
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    parsed = lines.withColumn("_row", F.from_json("value", full, options))
+    bad = F.col(f"_row.{CORRUPT}").isNotNull() & F.json_object_keys("value").isNull()
+    marked = parsed.withColumn("_bad", bad)
+    good = marked.filter(~F.col("_bad")).select(
+        *[F.col(f"_row.{f.name}") for f in schema.fields], "_file_path", "_line_id"
     )
-    rows = rows.withColumn("_line_id", F.struct("_block", "_seq")).drop("_block", "_seq")
-    is_object = F.json_object_keys(CORRUPT).isNotNull()
-    bad = F.col(CORRUPT).isNotNull() & ~is_object
-    good = rows.filter(~bad).drop(CORRUPT)
-    lines = rows.filter(bad).select("_file_path", F.col(CORRUPT).alias("line"))
-    return good, lines
+    return good, marked.filter("_bad").select("_file_path", F.col("value").alias("line"))
 
 
 def scan_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

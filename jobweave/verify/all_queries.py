@@ -1,3 +1,3 @@
 """Importing this module registers every query."""
 
-from jobweave.verify import columns, joins, models  # noqa: F401
+from jobweave.verify import columns, joins, models, raw  # noqa: F401

@@ -659,16 +659,20 @@ def h3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "h4_date_spine",
-    """select o_custkey, cast(unnest(range(lo, hi, interval 1 day)) as date) as date_day
-       from (select o_custkey, min(o_orderdate) as lo, max(o_orderdate) as hi from orders group by 1)""",
+    """select s.date_day, count(o.o_orderkey) as orders
+       from (select cast(unnest(range(lo, hi, interval 1 day)) as date) as date_day
+             from (select min(o_orderdate) as lo, max(o_orderdate) as hi from orders)) s
+       left join orders o on cast(o.o_orderdate as date) = s.date_day group by 1""",
 )
 def h4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every day of each customer's activity, the last one excluded."""
-    bounds = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(
-        F.min("o_orderdate").cast("date").alias("start"), F.max("o_orderdate").cast("date").alias("end")
+    """Every day the orders span, the last one excluded, with that day's orders."""
+    orders = table(spark, sf_dir, "orders").select(c("o_orderdate").cast("date").alias("date_day"))
+    bounds = orders.agg(F.min("date_day").alias("start"), F.max("date_day").alias("end"))
+    per_day = orders.groupBy("date_day").agg(F.count("*").alias("orders"))
+    days = reshape.date_spine(bounds, "start", "end")
+    return days.join(per_day, "date_day", "left").select(
+        "date_day", F.coalesce("orders", F.lit(0)).alias("orders")
     )
-    days = F.sequence(c("start"), F.date_sub("end", 1))
-    return bounds.filter(c("start") < c("end")).select("o_custkey", F.explode(days).alias("date_day"))
 
 
 # --- A14, A15: watermark and upsert ------------------------------------------------------
