@@ -106,8 +106,15 @@ def bounded(terms: list[str]) -> str:
 
 
 def skill_flag(text: Column | str, terms: list[str]) -> Column:
-    """1 when any term occurs in the text, else 0; a null text gives 0."""
-    found = F.lower(as_col(text)).rlike(bounded([t.lower() for t in terms]))
+    """1 when any term occurs in the text, else 0; a null text gives 0.
+
+    A plain substring search comes first: it is far cheaper than the bounded
+    pattern, and most terms are absent from most texts.
+    """
+    low = F.lower(as_col(text))
+    found = F.lit(False)
+    for term in (t.lower() for t in terms):
+        found = found | (low.contains(term) & low.rlike(bounded([term])))
     return F.coalesce(found, F.lit(False)).cast("int")
 
 
@@ -130,24 +137,30 @@ def with_found_skills(
         if not term.startswith(head):
             raise ValueError(f"a term must start with a word character: {term!r}")
     words = list(dict.fromkeys([t for t in owners if t not in phrases] + list(phrases.values())))
-    low, seen = F.col("_low"), F.col("_words")
-    tokens = F.split(low, f"[^{WORD_CHARS}]+")
     df = df.withColumn("_low", F.lower(as_col(text))).withColumn(
-        "_words", F.array_intersect(tokens, F.array(*[F.lit(w) for w in words]))
+        "_words", F.expr(f"array_intersect(split(_low, {_sql(f'[^{WORD_CHARS}]+')}), {_sql_array(words)})")
     )
-    terms = seen
-    if phrases:
-        checks = [
-            F.when(F.array_contains(seen, head) & low.contains(t) & low.rlike(bounded([t])), F.lit(t))
-            for t, head in phrases.items()
-        ]
-        terms = F.concat(seen, F.array_compact(F.array(*checks)))
-    lookup = F.create_map(*[F.lit(x) for t, names in owners.items() for x in (t, "|".join(names))])
+    checks = [
+        f"if(array_contains(_words, {_sql(head)}) and contains(_low, {_sql(t)}) "
+        f"and _low rlike {_sql(bounded([t]))}, {_sql(t)}, null)"
+        for t, head in phrases.items()
+    ]
+    terms = f"concat(_words, array_compact(array({', '.join(checks)})))" if checks else "_words"
     # a first word that is no term of its own has no entry
-    names = F.transform(terms, lambda t: F.split(F.coalesce(F.element_at(lookup, t), F.lit("")), r"\|"))
-    found = F.array_remove(F.array_distinct(F.flatten(names)), "")
-    empty = F.array().cast("array<string>")
-    return df.withColumn(name, F.coalesce(found, empty)).drop("_low", "_words")
+    pairs = ", ".join(f"{_sql(t)}, {_sql_array(names)}" for t, names in owners.items())
+    names = f"transform({terms}, t -> coalesce(element_at(map({pairs}), t), array()))"
+    return df.withColumn(
+        name, F.expr(f"coalesce(array_distinct(flatten({names})), cast(array() as array<string>))")
+    ).drop("_low", "_words")
+
+
+def _sql(text: str) -> str:
+    """SQL string literal; backslashes are escapes there."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _sql_array(values: list[str]) -> str:
+    return "array(" + ", ".join(_sql(v) for v in values) + ")"
 
 
 def with_skill_flags(

@@ -89,13 +89,19 @@ def int_jobs_enriched(stg: DataFrame) -> DataFrame:
 
 
 def int_job_titles_normalized(stg: DataFrame) -> DataFrame:
-    """Distinct normalized titles with the least raw title as representative."""
-    raw = stg.filter(title.is_valid_title("title")).select("title").distinct()
-    cleaned = raw.withColumn("title_normalized", title.normalize_job_title("title"))
+    """Distinct normalized titles with the least raw title as representative.
+
+    Titles repeat a lot, so they are reduced before they are cleaned. Cleaning
+    the ``min`` of each group, which is the title itself, keeps it that way:
+    Spark would drop a plain distinct below a ``min`` and would push the test of
+    the cleaned title below the grouping, cleaning every posting's title.
+    """
+    raw = stg.filter(title.is_valid_title("title")).groupBy("title").agg(F.min("title").alias("_raw"))
+    cleaned = raw.select("_raw", title.normalize_job_title("_raw").alias("title_normalized"))
     return (
         cleaned.filter(F.length("title_normalized") > 2)
         .groupBy("title_normalized")
-        .agg(F.min("title").alias("title_raw_representative"))
+        .agg(F.min("_raw").alias("title_raw_representative"))
     )
 
 
