@@ -18,6 +18,8 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Recording the call site of every Column call costs more than building it.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 _local_scratch: dict[str, tempfile.TemporaryDirectory] = {}

@@ -17,6 +17,7 @@ from jobweave.operators.similar import classify_pairs, similar_pairs
 from jobweave.operators.trend import sliced_windows
 from jobweave.plans import marts, staging
 from jobweave.plans.enrichment import has_required_fields, prompt_text
+from jobweave.sources.tables import stage
 from jobweave.verify import dialect as d
 from jobweave.verify import inputs
 from jobweave.verify.inputs import INPUT_SQL, table
@@ -533,10 +534,10 @@ with part_companies as (
 
 
 def part_companies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One company per part name and brand."""
+    """One company per part name and brand; stored, since pairing reads it several times."""
     name = company.employer_name_normalization(F.concat("p_name", F.lit(" "), "p_brand"))
     site = F.concat(F.lit("https://"), F.replace("p_type", F.lit(" "), F.lit("")), (c("p_size") % 7).cast("string"))
-    return (
+    companies = (
         table(spark, sf_dir, "part")
         .groupBy(name.alias("company_name_clean"))
         .agg(
@@ -546,6 +547,7 @@ def part_companies(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .withColumn("company_key", F.md5("company_name_clean"))
     )
+    return stage(companies, "companies")
 
 
 @query(
