@@ -9,6 +9,11 @@ from pyspark.sql import types as T
 from jobweave.functions import as_col
 
 PARTITIONS = ["endpoint", "ingestion_date", "query"]
+_PARTITION_FIELDS = [
+    T.StructField("endpoint", T.StringType()),
+    T.StructField("ingestion_date", T.DateType()),
+    T.StructField("query", T.StringType()),
+]
 CORRUPT = "_corrupt_record"
 
 
@@ -46,14 +51,7 @@ def read_partitioned(
     spark: SparkSession, root: str, schema: T.StructType, endpoint: str | None = None, day: str | None = None
 ) -> DataFrame:
     """The tree with its partition columns; the filters prune folders."""
-    full = T.StructType(
-        [
-            *schema.fields,
-            T.StructField("endpoint", T.StringType()),
-            T.StructField("ingestion_date", T.DateType()),
-            T.StructField("query", T.StringType()),
-        ]
-    )
+    full = T.StructType([*schema.fields, *_PARTITION_FIELDS])
     df = spark.read.schema(full).option("basePath", root).json(root)
     if endpoint is not None:
         df = df.filter(F.col("endpoint") == endpoint)
@@ -63,15 +61,27 @@ def read_partitioned(
 
 
 def list_partitions(
-    spark: SparkSession, root: str, schema: T.StructType, endpoint: str, day: str | None = None
+    spark: SparkSession, root: str, endpoint: str, day: str | None = None, glob: str = "data.json"
 ) -> DataFrame:
-    """Folders of one endpoint that hold data, in path order."""
-    return (
-        read_partitioned(spark, root, schema, endpoint, day)
-        .select(*PARTITIONS)
-        .distinct()
-        .orderBy("ingestion_date", "query")
+    """Folders of one endpoint that hold data, in path order.
+
+    The binary-file source yields one row per file and opens none of them as
+    long as the content is not asked for; the filters prune folders.
+    """
+    files = T.StructType(
+        [
+            T.StructField("path", T.StringType()),
+            T.StructField("modificationTime", T.TimestampType()),
+            T.StructField("length", T.LongType()),
+            T.StructField("content", T.BinaryType()),
+            *_PARTITION_FIELDS,
+        ]
     )
+    reader = spark.read.format("binaryFile").schema(files).option("pathGlobFilter", glob)
+    found = reader.option("basePath", root).load(root).filter(F.col("endpoint") == endpoint)
+    if day is not None:
+        found = found.filter(F.col("ingestion_date") == F.lit(day).cast("date"))
+    return found.select(*PARTITIONS).distinct().orderBy("ingestion_date", "query")
 
 
 def scan_jsonl_tolerant(
@@ -132,14 +142,13 @@ def query_label(
 def write_raw_zone(df: DataFrame, root: str) -> None:
     """Replace the partitions present in the frame, leave all others.
 
-    Rows are spread within a partition, so a large one is written by many tasks
-    and no task keeps a file open for every partition.
+    The rebalance groups rows by folder, so no task keeps a file open for every
+    folder, and splits a folder larger than the advisory size over more tasks.
     """
-    spread = df.withColumn("query", safe_partition_value("query")).repartition(
-        *[F.col(c) for c in PARTITIONS], F.pmod(F.xxhash64(*_hashable(df)), F.lit(16))
-    )
+    safe = df.withColumn("query", safe_partition_value("query"))
     (
-        spread.write.mode("overwrite")
+        safe.hint("rebalance", *[F.col(c) for c in PARTITIONS])
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*PARTITIONS)
         .json(root)
@@ -151,10 +160,6 @@ def append_enrichment(df: DataFrame, root: str) -> None:
     df.write.mode("append").partitionBy(*PARTITIONS).json(root)
 
 
-def _hashable(df: DataFrame) -> list[str]:
-    return [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
-
-
 def explode_envelope(
     df: DataFrame, body: str, record: T.StructType, key: str | None = "data", subkey: str | None = None
 ) -> DataFrame:

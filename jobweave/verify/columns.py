@@ -159,14 +159,25 @@ _quality_sql = d.posting_quality(
 )
 
 
+_plain_quality_sql = d.posting_quality(
+    f"({d.place_quality('job_is_remote', 'job_city', 'job_country')})",
+    f"({d.title_key('job_title')})",
+    f"({_company_key_sql})",
+)
+
+
 @query(
     "b13_quality_gate",
-    f"{INPUT_SQL} select ingest_seq, record_quality from "
-    f"(select ingest_seq, {_quality_sql} as record_quality from postings) where record_quality in ('high', 'medium')",
+    f"{INPUT_SQL} select ingest_seq, record_quality from (select ingest_seq, {_plain_quality_sql} as record_quality "
+    "from postings) where record_quality in ('high', 'medium')",
 )
 def b13(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = inputs.postings(spark, sf_dir).withColumns({n: make() for n, make in _prepared.items()})
-    df = df.select("ingest_seq", _quality_col().alias("record_quality"))
+    record_quality = quality.posting_quality(
+        location.location_quality("job_is_remote", "job_city", "job_country"),
+        keys.job_title_key("job_title"),
+        _company_key(),
+    )
+    df = inputs.postings(spark, sf_dir).select("ingest_seq", record_quality.alias("record_quality"))
     return marts.good_quality(df, ["high", "medium"])
 
 

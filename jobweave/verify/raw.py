@@ -95,7 +95,7 @@ def a3(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def a4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_zone.list_partitions(
-        spark, _zone(spark, sf_dir), schemas.ESTIMATE, "salary_estimate", "2023-01-01"
+        spark, _zone(spark, sf_dir), "salary_estimate", "2023-01-01", _FILES
     )
 
 
