@@ -14,9 +14,21 @@ from jobweave.operators.dedup import latest_per_key
 from jobweave.session import scratch_path
 
 
-def watermark(target: DataFrame, column: str) -> object | None:
-    """Greatest value of the target, None when it is empty."""
-    return target.agg(F.max(column)).first()[0]
+def watermark(target: DataFrame, column: str) -> Column | None:
+    """Greatest value of the target as a literal, None when it is empty.
+
+    Times travel as text or microseconds, so neither the session's nor the
+    driver's time zone can shift them.
+    """
+    kind = target.schema[column].dataType
+    newest = F.max(column)
+    if isinstance(kind, T.TimestampType):
+        bound = target.agg(F.unix_micros(newest)).first()[0]
+        return None if bound is None else F.timestamp_micros(F.lit(bound))
+    if isinstance(kind, T.TimestampNTZType):
+        newest = newest.cast("string")
+    bound = target.agg(newest).first()[0]
+    return None if bound is None else F.lit(bound).cast(kind)
 
 
 def since_watermark(source: DataFrame, target: DataFrame, column: str, inclusive: bool = False) -> DataFrame:
@@ -27,8 +39,7 @@ def since_watermark(source: DataFrame, target: DataFrame, column: str, inclusive
     bound = watermark(target, column)
     if bound is None:
         return source
-    limit = F.lit(bound).cast(source.schema[column].dataType)
-    return source.filter(F.col(column) >= limit if inclusive else F.col(column) > limit)
+    return source.filter(F.col(column) >= bound if inclusive else F.col(column) > bound)
 
 
 def _same_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:

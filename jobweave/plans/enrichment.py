@@ -19,7 +19,7 @@ from jobweave.functions import as_col
 from jobweave.operators.dedup import best_per_key, first_seen
 from jobweave.operators.joins import not_in
 from jobweave.sources.raw_zone import append_enrichment, path_part, scan_jsonl_tolerant
-from jobweave.session import scratch_path
+from jobweave.session import scratch_path, ship_package
 
 # What a reply may contain.
 ROLE_FAMILIES = [
@@ -151,6 +151,7 @@ def infer(
             replies = [_call_with_retries(call, p, tries, first_wait) for p in batch["prompt"]]
             yield batch[["job_id", "content_hash", "query"]].assign(raw_response=replies)
 
+    ship_package(jobs.sparkSession)
     schema = "job_id string, content_hash string, query string, raw_response string"
     asked = jobs.select("job_id", "content_hash", "query", "prompt")
     return asked.repartition(parallelism, "content_hash").mapInPandas(run, schema)

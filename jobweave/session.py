@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -23,6 +25,7 @@ SESSION_DEFAULTS = {
 }
 
 _local_scratch: dict[str, tempfile.TemporaryDirectory] = {}
+_shipped: dict[str, tempfile.TemporaryDirectory] = {}
 
 
 def build_session(
@@ -66,3 +69,21 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the scratch root; nothing is created yet."""
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give Python workers this package, once per application.
+
+    Only the calls to an enrichment model run in Python workers; they import
+    the package by name. ``spark-submit --py-files`` does the same.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.TemporaryDirectory(prefix="jobweave-", ignore_cleanup_errors=True)
+    archive = shutil.make_archive(
+        os.path.join(folder.name, "jobweave"), "zip", os.path.dirname(package), os.path.basename(package)
+    )
+    sc.addPyFile(archive)
+    _shipped[sc.applicationId] = folder

@@ -178,3 +178,17 @@ def test_audit(spark):
         audit.assert_no_failed(runs)
     audit.assert_no_failed(runs.filter("query != 'bad'"))
     assert audit.without_failed_runs(log, runs).count() == 3
+
+
+@pytest.mark.parametrize("kind", ["timestamp_ntz", "timestamp", "date", "int"])
+def test_watermark_reaches_the_scan(spark, kind):
+    path = scratch_path(spark, "marks")
+    day = F.date_add(F.lit("2024-01-01").cast("date"), F.col("id").cast("int"))
+    value = F.col("id").cast("int") if kind == "int" else day.cast(kind)
+    spark.range(10).select(value.alias("t")).write.parquet(path)
+    source = spark.read.parquet(path)
+    target = source.orderBy("t").limit(4)
+    fresh = incremental.since_watermark(source, target, "t")
+    assert fresh.count() == 6
+    plan = fresh._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(t," in plan
