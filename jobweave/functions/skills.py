@@ -105,13 +105,14 @@ def bounded(terms: list[str]) -> str:
     return f"(^|[^{WORD_CHARS}])({words})([^{WORD_CHARS}]|$)"
 
 
-def skill_flag(text: Column | str, terms: list[str]) -> Column:
+def skill_flag(text: Column | str, terms: list[str], lowered: bool = False) -> Column:
     """1 when any term occurs in the text, else 0; a null text gives 0.
 
     A plain substring search comes first: it is far cheaper than the bounded
-    pattern, and most terms are absent from most texts.
+    pattern, and most terms are absent from most texts. For several flags of one
+    text, lower it once in a column of its own and say so.
     """
-    low = F.lower(as_col(text))
+    low = as_col(text) if lowered else F.lower(as_col(text))
     found = F.lit(False)
     for term in (t.lower() for t in terms):
         found = found | (low.contains(term) & low.rlike(bounded([term])))

@@ -218,9 +218,9 @@ TEXT_TERMS = {
     "sql": skills.SKILL_TERMS["sql"],
 }
 _columns("c5_skill_flag", "postings", {
-    f"skill_{n}": (lambda t=t: skills.skill_flag("job_description", t), d.skill("job_description", t))
+    f"skill_{n}": (lambda t=t: skills.skill_flag("_low", t, lowered=True), d.skill("job_description", t))
     for n, t in TEXT_TERMS.items()
-})
+}, first={"_low": lambda: F.lower("job_description")})
 
 
 @query(
