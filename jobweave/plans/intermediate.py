@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from jobweave.functions import company, keys, location, quality, salary, skills, title
 from jobweave.functions.signals import days_between
 from jobweave.operators.dedup import best_per_key, best_with_span
+from jobweave.operators.incremental import upsert_keeping_span
 from jobweave.operators.similar import classify_pairs, similar_pairs
 
 ESTIMATE_GRAIN = ["title_normalized", "location_key", "salary_currency", "ingestion_date"]
@@ -88,6 +89,21 @@ def int_jobs_enriched(stg: DataFrame) -> DataFrame:
     )
 
 
+def merge_jobs(target: DataFrame, batch: DataFrame) -> DataFrame:
+    """Stored jobs with a newer batch merged in.
+
+    A job seen before keeps its first sighting, and what is derived from the
+    span is derived again.
+    """
+    merged = upsert_keeping_span(target, batch, ["job_id"], "first_seen_at", "last_seen_at")
+    return merged.withColumns(
+        {
+            "days_active": days_between("last_seen_at", "first_seen_at"),
+            "date_first_seen_key": keys.date_key("first_seen_at"),
+        }
+    ).select(*target.columns)
+
+
 def int_job_titles_normalized(stg: DataFrame) -> DataFrame:
     """Distinct normalized titles with the least raw title as representative.
 
