@@ -22,15 +22,11 @@ def id_key(column: str) -> Column:
     return F.coalesce(F.col(column).cast("long"), F.lit(LAST_ID))
 
 
-def lower_ascii(column: Column) -> Column:
-    """A-Z in lower case, all else unchanged."""
-    return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-
-
 def ascii_words(column: Column) -> Column:
     r"""Words ``[^\x20\x09-\x0D]+`` as an array; null text has none."""
-    parts = F.split(F.coalesce(column, F.lit("")), "[\\x20\\x09-\\x0D]+")
-    return F.filter(parts, lambda w: w != "")
+    trimmed = F.btrim(F.coalesce(column, F.lit("")), F.lit(" \t\n\x0b\x0c\r"))
+    # Between two words there is no empty part, so only a text without words needs a look.
+    return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, "[\\x20\\x09-\\x0D]+"))
 
 
 def words_of(text: str | None) -> list[bytes]:

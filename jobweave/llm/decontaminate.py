@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from jobweave.llm.common import LAST_ID, ascii_words, id_key, lower_ascii
+from jobweave.llm.common import LAST_ID, ascii_words, id_key
 from jobweave.sources.tables import stage
 
 SHINGLE, THRESHOLD = 5, 0.8
@@ -67,7 +67,7 @@ def contained_items(
 ) -> DataFrame:
     """(doc_id, item_id, n_shingles, n_shared, containment): all pairs at or above the threshold.
 
-    Words are cut at ASCII white space, A-Z in lower case. ``n_shingles``
+    Words are cut at ASCII white space, in lower case. ``n_shingles``
     counts the item's distinct shingles, ``n_shared`` those in the document. An
     item of fewer than ``size`` words is one shingle, which only a document of
     just these words has. Items or documents without words match nothing, nor
@@ -78,13 +78,13 @@ def contained_items(
     The sketches are written to the shared folder first, so Spark knows their
     true size when it chooses between broadcast and shuffle.
     """
-    tested = items.select(id_key(item_id).alias("item"), ascii_words(lower_ascii(F.col(item_text))).alias("words"))
+    tested = items.select(id_key(item_id).alias("item"), ascii_words(F.lower(F.col(item_text))).alias("words"))
     # A row's words stay one list: ids may repeat.
     full = stage(tested.filter(F.size("words") > 0), "bench-items")
     sketch = stage(item_sketches(full, size, threshold).distinct(), "bench-sketches")
     anchors = sketch.select("hash").distinct()
 
-    worded = docs.select(id_key(doc_id).alias("doc"), ascii_words(lower_ascii(F.col(text))).alias("words"))
+    worded = docs.select(id_key(doc_id).alias("doc"), ascii_words(F.lower(F.col(text))).alias("words"))
     probes = worded.select("doc", F.explode(shingle_hashes(F.col("words"), size)).alias("hash"))
     # One row per (document, item) that share a sketch entry; few documents share any.
     hits = probes.join(anchors, "hash", "left_semi").distinct()
@@ -92,8 +92,11 @@ def contained_items(
 
     item_shingles = full.select("item", F.explode(shingle_texts(F.col("words"), size)).alias("shingle")).distinct()
     sizes = item_shingles.groupBy("item").agg(F.count("*").alias("n_shingles"))
-    suspects = worded.join(pairs.select("doc").distinct(), "doc", "left_semi")
-    doc_shingles = suspects.select("doc", F.explode(shingle_texts(F.col("words"), size)).alias("shingle"))
+    suspects = docs.select(id_key(doc_id).alias("doc"), F.lower(F.col(text)).alias("value")).join(
+        pairs.select("doc").distinct(), "doc", "left_semi"
+    )
+    doc_words = suspects.select("doc", ascii_words(F.col("value")).alias("words"))
+    doc_shingles = doc_words.select("doc", F.explode(shingle_texts(F.col("words"), size)).alias("shingle"))
     # Only shingles of items go on, so that what is shuffled stays as small as the benchmark part of a document.
     known = stage(item_shingles.select("shingle").distinct(), "bench-shingles")
     shared = stage(doc_shingles.join(known, "shingle", "left_semi").distinct(), "bench-shared")

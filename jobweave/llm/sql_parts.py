@@ -6,8 +6,6 @@ from jobweave.llm.decontaminate import SHINGLE
 from jobweave.llm.line_dedup import BASE, DIVISOR, MIN_LINES, PRIME
 from jobweave.llm.sharding import SHARDS, SLOTS
 
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-
 
 def words(column: str) -> str:
     return f"list_filter(string_split_regex(coalesce({column}, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '')"
@@ -75,7 +73,7 @@ SELECT doc_id, slot::INTEGER AS slot, shard::INTEGER AS shard FROM placed JOIN s
 
 
 def _shingles(source: str, key: str) -> str:
-    w = words(f"translate(text, '{UPPER}', '{LOWER}')")
+    w = words("lower(text)")
     return f"""
   SELECT DISTINCT {key}, unnest(CASE WHEN len(w) >= {SHINGLE}
            THEN list_transform(range(1, len(w) - {SHINGLE} + 2), lambda i: array_to_string(w[i:i + {SHINGLE - 1}], ' '))
