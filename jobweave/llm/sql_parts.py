@@ -90,3 +90,72 @@ hits AS (
 SELECT doc_id, item_id, n_shingles, n_shared, n_shared / n_shingles AS containment
 FROM hits JOIN sizes USING (item_id) WHERE n_shared * 10 >= n_shingles * 8
 """
+
+_ESCAPED = "replace(replace({}, chr(92), chr(92) || chr(92)), '<|', '<' || chr(92) || '|')"
+
+CHAT = f"""
+WITH m AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+  UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'
+), g AS (
+  SELECT conv_id, count(*) AS n_turns,
+         string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS lines,
+         coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '') AS loss,
+         sum(length('<|im_start|>' || replace({_ESCAPED.format("role")}, chr(10), chr(92) || 'n') || chr(10)
+           || {_ESCAPED.format("text")} || '<|im_end|>' || chr(10)))::BIGINT AS formatted_chars
+  FROM m GROUP BY conv_id
+)
+SELECT conv_id, n_turns, sha256(lines) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
+       formatted_chars
+FROM g
+"""
+
+QUALITY = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text, {words("text")} AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines
+  FROM documents
+), t AS (
+  SELECT rid, generate_subscripts(w, 1) AS i, unnest(w) AS a FROM d
+), t3 AS (
+  SELECT rid, i, a, lead(a, 1) OVER o AS b, lead(a, 2) OVER o AS c FROM t WINDOW o AS (PARTITION BY rid ORDER BY i)
+), often AS (
+  SELECT rid, i, count(*) OVER (PARTITION BY rid, a, b, c) > 1 AS twice FROM t3 WHERE c IS NOT NULL
+), covered AS (
+  SELECT rid, count(DISTINCT i + k) AS n FROM often, range(3) r(k) WHERE twice GROUP BY rid
+), f AS (
+  SELECT d.doc_id, len(w)::BIGINT AS n_words,
+         length(regexp_replace(text, '[\\x20\\x09-\\x0D]', '', 'g'))::BIGINT AS word_chars,
+         length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+         (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+         coalesce(covered.n, 0)::BIGINT AS n_repeat_words, len(lines) AS n_lines,
+         len(list_filter(w, lambda x: regexp_matches(x, '[A-Za-z]|[^\\x00-\\x7F]'))) AS n_letter_words
+  FROM d LEFT JOIN covered USING (rid)
+), v AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM f
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND word_chars BETWEEN 2 * n_words AND 15 * n_words AND 10 * n_symbols <= n_words
+       AND 10 * n_dup_lines <= 3 * n_lines AND 10 * n_letter_words >= 7 * n_words AS kept
+FROM v
+"""
+
+# DuckDB has no base32: the digest's 160 bits, five at a time.
+WARC = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS digest FROM pages
+), m AS (
+  SELECT *, min(page_id) OVER (PARTITION BY digest, html) AS low FROM p
+), b AS (
+  SELECT *, array_to_string(list_transform(range(40), lambda i: ('0x' || digest[i + 1])::INTEGER::BIT::VARCHAR[29:32]), '') AS bits
+  FROM m
+)
+SELECT page_id, octet_length(html::BLOB)::BIGINT AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[
+         list_sum(list_transform(range(5), lambda k: bits[i * 5 + k + 1]::INTEGER * (1 << (4 - k)::INTEGER)))::INTEGER + 1]), '')
+         AS payload_digest,
+       CASE WHEN low IS NULL OR page_id = low THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM low THEN low END AS refers_to
+FROM b
+"""
