@@ -11,12 +11,27 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from jobweave.session import ship_package
-from jobweave.sources.tables import stage
+from jobweave.sources import tables
 
 # A null id sorts behind all ids; as a number it can be a join key.
 LAST_ID = 2**63 - 1
 
 
+# Removes a job's shuffle files when it ends: a staged table is read from its own files.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def stage(df: DataFrame, label: str) -> DataFrame:
+    """A written table in the shared folder, which cuts the lineage; the shuffles behind it are freed at once."""
+    conf = df.sparkSession.conf
+    before = conf.get(_CLEANUP, None)
+    conf.set(_CLEANUP, "true")
+    try:
+        return tables.stage(df, label)
+    finally:
+        conf.set(_CLEANUP, before) if before is not None else conf.unset(_CLEANUP)
+
+
 def id_key(column: str) -> Column:
     """The id as a key that is never null."""
     return F.coalesce(F.col(column).cast("long"), F.lit(LAST_ID))

@@ -15,8 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from jobweave.llm.common import LAST_ID, ascii_words, id_key
-from jobweave.sources.tables import stage
+from jobweave.llm.common import LAST_ID, ascii_words, id_key, stage
 
 SHINGLE, THRESHOLD = 5, 0.8
 

@@ -16,8 +16,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from jobweave.llm.common import stage
 from jobweave.session import ship_package
-from jobweave.sources.tables import stage
 
 DIMENSIONS = 4096
 SAMPLE_PER_LANGUAGE = 400

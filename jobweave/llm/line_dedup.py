@@ -18,9 +18,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobweave.llm.common import flush_every, id_key, map_batches
+from jobweave.llm.common import flush_every, id_key, map_batches, stage
 from jobweave.session import ship_package
-from jobweave.sources.tables import stage
 
 WINDOW, DIVISOR, MIN_LINES = 2, 4, 2
 

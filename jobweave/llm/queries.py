@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobweave.llm import sql_parts as sql
+from jobweave.llm.byte_bpe import Vocabulary, decode, encode, ids_digest
 from jobweave.llm.chat_format import format_conversations, read_back, text_part
+from jobweave.llm.common import ascii_words
 from jobweave.llm.decontaminate import contained_items
 from jobweave.llm.language_id import held_out, identify, train
 from jobweave.llm.line_dedup import line_dedup
@@ -14,6 +16,7 @@ from jobweave.llm.quality_rules import apply_cascade
 from jobweave.llm.registry import ORACLE, QUERIES, query, table
 from jobweave.llm.sharding import place
 from jobweave.llm.simhash import simhash_components
+from jobweave.llm.substring_dedup import substring_dedup
 from jobweave.llm.warc import archived_pages, write_pages
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -67,6 +70,26 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def tokenizer_files():
+    """The module that knows the public rank files and their split pattern; their place is its business."""
+    import public_tokenizers
+
+    return public_tokenizers
+
+
+@query("op5_byte_bpe")
+def op5(spark: SparkSession, sf_dir: str, rank_file: str = "byte_bpe_multi_50k.tiktoken") -> DataFrame:
+    files = tokenizer_files()
+    vocabulary = Vocabulary.load(files.path(rank_file))
+    encoded = encode(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary, files.PATTERN)
+    return encoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        ids_digest(F.col("ids")).alias("ids_sha256"),
+        F.sha2(decode(F.col("ids"), vocabulary), 256).alias("decoded_sha256"),
+    )
+
+
 @query("op6_quality_rules", sql.QUALITY)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_cascade(table(spark, sf_dir, "documents")).select(
@@ -82,3 +105,11 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_simhash_near_dedup")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"))
+
+
+@query("op10_substring_dedup")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.array_join(ascii_words(F.col("text")), " "), 256).alias("kept_sha256")
+    )

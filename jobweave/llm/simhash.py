@@ -19,9 +19,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from jobweave.llm.common import LAST_ID, connected_components, flush_every, id_key, map_batches, ones, words_of
+from jobweave.llm.common import LAST_ID, connected_components, flush_every, id_key, map_batches, ones, stage, words_of
 from jobweave.session import ship_package
-from jobweave.sources.tables import stage
 
 SEED = 42
 

@@ -148,7 +148,7 @@ WITH p AS (
 ), m AS (
   SELECT *, min(page_id) OVER (PARTITION BY digest, html) AS low FROM p
 ), b AS (
-  SELECT *, array_to_string(list_transform(range(40), lambda i: ('0x' || digest[i + 1])::INTEGER::BIT::VARCHAR[29:32]), '') AS bits
+  SELECT *, array_to_string(list_transform(range(40), lambda i: right(('0x' || digest[i + 1])::INTEGER::BIT::VARCHAR, 4)), '') AS bits
   FROM m
 )
 SELECT page_id, octet_length(html::BLOB)::BIGINT AS payload_bytes,

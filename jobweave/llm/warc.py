@@ -35,8 +35,8 @@ from pyspark.sql.datasource import (
 )
 from pyspark.sql.types import StructType
 
+from jobweave.llm.common import stage
 from jobweave.session import scratch_path, ship_package
-from jobweave.sources.tables import stage
 
 # Rows of this schema are written; reading gives the same columns.
 SCHEMA = (
