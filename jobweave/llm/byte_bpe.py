@@ -33,6 +33,13 @@ _NONE = (1 << 31) - 1
 _HELD_WORDS = 300_000
 
 
+def tokenizer_files():
+    """The module that knows the public rank files (``path``) and their split pattern (``PATTERN``)."""
+    import public_tokenizers
+
+    return public_tokenizers
+
+
 class Vocabulary:
     """Ranks of byte pieces, as a rank file lists them; every piece must be a byte or a merge of two of lower rank."""
 

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobweave.llm import sql_parts as sql
-from jobweave.llm.byte_bpe import Vocabulary, decode, encode, ids_digest
+import corpus_pipeline
+from jobweave.llm.byte_bpe import Vocabulary, decode, encode, ids_digest, tokenizer_files
 from jobweave.llm.chat_format import format_conversations, read_back, text_part
 from jobweave.llm.common import ascii_words
 from jobweave.llm.decontaminate import contained_items
@@ -70,13 +71,6 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-def tokenizer_files():
-    """The module that knows the public rank files and their split pattern; their place is its business."""
-    import public_tokenizers
-
-    return public_tokenizers
-
-
 @query("op5_byte_bpe")
 def op5(spark: SparkSession, sf_dir: str, rank_file: str = "byte_bpe_multi_50k.tiktoken") -> DataFrame:
     files = tokenizer_files()
@@ -113,3 +107,6 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select(
         "doc_id", "n_words", "n_removed", F.sha2(F.array_join(ascii_words(F.col("text")), " "), 256).alias("kept_sha256")
     )
+
+
+query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)

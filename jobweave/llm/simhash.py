@@ -132,7 +132,42 @@ def part_fingerprints(words: list[bytes], parts: int = PARTS, bits: int = PART_B
     return [int("".join("1" if f else "0" for f in row), 2) + (t << bits) for t, row in enumerate(flags)]
 
 
-def near_duplicates(
+def body_digest(words: list[bytes]) -> bytes:
+    """128 bits that stand for a word sequence in lower case."""
+    return xxhash.xxh3_128_digest(b" ".join(words))
+
+
+def with_body(docs: DataFrame, text: str, body: str) -> DataFrame:
+    """``docs`` with the digest of each text's words; null and empty texts have that of no words."""
+
+    @F.arrow_udf("binary")
+    def digests(values: pa.Array) -> pa.Array:
+        return pa.array([body_digest([w.lower() for w in words_of(t)]) for t in values.to_pylist()], pa.binary())
+
+    ship_package(docs.sparkSession)
+    return docs.withColumn(body, digests(F.col(text)))
+
+
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **search: float) -> DataFrame:
+    """(doc_id, component_id), one row per row of ``docs``: copies and near copies share a component.
+
+    ``search`` goes to ``near_groups``. The component is the smallest id in it,
+    null if all its ids are null.
+    """
+    groups = near_groups(docs, doc_id, text, **search)
+    leads = groups.groupBy("component").agg(F.min("doc").alias("lead"))
+    return groups.join(leads, "component").select(
+        real_id(F.col("doc")).alias(doc_id), real_id(F.col("lead")).alias("component_id")
+    )
+
+
+def group_leads(groups: DataFrame) -> DataFrame:
+    """(doc, body) of the document that stays of each group: the smallest id, of equal ids the smallest digest."""
+    lead = F.min(F.struct("doc", "body")).alias("lead")
+    return groups.groupBy("component").agg(lead).select("lead.doc", "lead.body")
+
+
+def near_groups(
     docs: DataFrame,
     doc_id: str = "doc_id",
     text: str = "text",
@@ -142,7 +177,7 @@ def near_duplicates(
     bits: int = PART_BITS,
     radius: int = 2,
 ) -> DataFrame:
-    """(doc_id, component_id), one row per row of ``docs``: copies and near copies share a component.
+    """(doc, body, component), one row per row of ``docs``; ``doc`` is the id as a key, ``body`` the text's digest.
 
     Two texts are near copies if the Jaccard similarity of their sets of
     ``size``-word shingles (A-Z in lower case) is at least ``similarity``. At
@@ -152,38 +187,41 @@ def near_duplicates(
     is within ``radius`` bits in about half of all cases, and 8 parts miss
     0.4 % at 0.8 and fewer above. Every link is verified on the exact sets.
 
-    Equal word sequences are one candidate, so large groups of exact copies
-    cost nothing. Of documents with equal parts the smallest id stands for them
-    in the ball; the others link to it. Links are verified in two rounds, the
-    second without those inside components of the first. Null and empty texts
-    are copies of each other. Null ids: as in ``simhash_components``.
+    Texts are the nodes, known by their digest, so ids may be null or repeat.
+    Equal word sequences are one node: large groups of exact copies cost
+    nothing. Of texts with equal parts one stands for them in the ball; the
+    others link to it. Links are verified in two rounds, the second without
+    those inside components of the first. Null and empty texts are copies of
+    each other.
     """
-    read_schema = pa.schema([("doc", pa.int64()), ("body", pa.binary()), ("fps", pa.list_(pa.int64()))])
+    read_schema = pa.schema(
+        [("doc", pa.int64()), ("place", pa.int64()), ("body", pa.binary()), ("fps", pa.list_(pa.int64()))]
+    )
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
             for batch in batches:
-                for doc, value in zip(batch["doc"].to_pylist(), batch["value"].to_pylist()):
+                for doc, place, value in zip(*(batch[c].to_pylist() for c in ("doc", "place", "value"))):
                     words = [w.lower() for w in words_of(value)]
-                    body = xxhash.xxh3_128_digest(b" ".join(words))
-                    yield doc, body, part_fingerprints(words, parts, bits) if words else None
+                    yield doc, place, body_digest(words), part_fingerprints(words, parts, bits) if words else None
 
         yield from flush_every(5_000, read_schema)(rows())
 
-    narrow = docs.select(id_key(doc_id).alias("doc"), F.col(text).alias("value"))
-    held = stage(map_batches(narrow, read, "doc long, body binary, fps array<long>"), "near-fps")
-    bodies = stage(held.groupBy("body").agg(F.min("doc").alias("rep"), F.first("fps").alias("fps")), "near-bodies")
+    # Where a text can be fetched again: its id, or a hash of it where there is none.
+    place = F.coalesce(F.col(doc_id).cast("long"), F.xxhash64(text))
+    narrow = docs.select(id_key(doc_id).alias("doc"), place.alias("place"), F.col(text).alias("value"))
+    held = stage(map_batches(narrow, read, "doc long, place long, body binary, fps array<long>"), "near-fps")
+    bodies = held.groupBy("body").agg(F.min("place").alias("place"), F.first("fps").alias("fps"))
+    bodies = stage(bodies.withColumn("rep", F.xxhash64("body")), "near-bodies")
 
     part = bodies.select("rep", F.explode("fps").alias("fp"))
-    heads = part.groupBy("fp").agg(F.min("rep").alias("head"))
-    same = part.join(heads, "fp").filter("head < rep").select(F.col("head").alias("a"), F.col("rep").alias("b"))
-    order = Window.partitionBy("variant").orderBy("head")
-    met = variants(heads, bits, radius).select(
-        F.lag("head").over(order).alias("before"), F.first("head").over(order).alias("first"), "head"
-    )
-    near = met.filter("before is not null").select(
-        F.explode(F.array_distinct(F.array("before", "first"))).alias("a"), F.col("head").alias("b")
-    )
+    # Who stands for equal parts, and who is whose neighbour on a value, is drawn anew for every part and value:
+    # within a large family each text so meets many others, though never all of them.
+    heads = part.groupBy("fp").agg(F.min_by("rep", F.xxhash64("rep", "fp")).alias("head"))
+    same = part.join(heads, "fp").select(F.col("head").alias("x"), F.col("rep").alias("y"))
+    order = Window.partitionBy("variant").orderBy(F.xxhash64("head", "variant"), "head")
+    near = variants(heads, bits, radius).select(F.lag("head").over(order).alias("x"), F.col("head").alias("y"))
+    met_pairs = same.union(near).filter("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
     prints = bodies.select("rep", "fps")
     distance = F.aggregate(
         F.arrays_zip(F.col("x.fps").alias("p"), F.col("y.fps").alias("q")),
@@ -191,16 +229,16 @@ def near_duplicates(
         lambda n, z: n + F.bit_count(z["p"].bitwiseXOR(z["q"])),
     )
     # Far apart over all parts together: met by chance.
-    met_pairs = same.union(near.filter("a < b")).distinct()
     pairs = (
-        met_pairs.join(prints.alias("x"), F.col("a") == F.col("x.rep"))
+        met_pairs.distinct()
+        .join(prints.alias("x"), F.col("a") == F.col("x.rep"))
         .join(prints.alias("y"), F.col("b") == F.col("y.rep"))
         .filter(distance <= parts * bits // 4)
         .select("a", "b")
     )
     pairs = stage(pairs, "near-pairs")
 
-    sets = stage(_shingle_sets(narrow, pairs, size), "near-sets")
+    sets = stage(_shingle_sets(narrow, bodies, pairs, size), "near-sets")
     first = stage(_verified(pairs.groupBy("b").agg(F.min("a").alias("a")), sets, similarity), "near-links-1")
     known = connected_components(first, "a", "b", "near-1")
     left, right = (known.select(F.col("node").alias(c), F.col("component").alias(f"{c}_in")) for c in ("a", "b"))
@@ -213,25 +251,29 @@ def near_duplicates(
     links = first.union(_verified(rest, sets, similarity).select("a", "b"))
     roots = connected_components(links, "a", "b", "near-2")
     named = bodies.select("body", "rep").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
-    return held.join(named.select("body", F.coalesce("component", "rep").alias("component_id")), "body").select(
-        real_id(F.col("doc")).alias(doc_id), real_id(F.col("component_id")).alias("component_id")
-    )
+    labels = named.select("body", F.coalesce("component", "rep").alias("component"))
+    return stage(held.select("doc", "body").join(labels, "body"), "near-groups")
 
 
-def _shingle_sets(narrow: DataFrame, pairs: DataFrame, size: int) -> DataFrame:
-    """(doc, hashes) of the documents that the pairs name: their distinct shingle hashes in order."""
-    schema = pa.schema([("doc", pa.int64()), ("hashes", pa.list_(pa.int64()))])
+def _shingle_sets(narrow: DataFrame, bodies: DataFrame, pairs: DataFrame, size: int) -> DataFrame:
+    """(rep, hashes) of the texts that the pairs name: their distinct shingle hashes in order."""
+    schema = pa.schema([("rep", pa.int64()), ("hashes", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
             for batch in batches:
-                for doc, value in zip(batch["doc"].to_pylist(), batch["value"].to_pylist()):
-                    yield doc, np.unique(shingle_hashes([w.lower() for w in words_of(value)], size).view(np.int64))
+                for rep, body, value in zip(*(batch[c].to_pylist() for c in ("rep", "body", "value"))):
+                    words = [w.lower() for w in words_of(value)]
+                    if body_digest(words) == body:  # another text may have the same id
+                        yield rep, np.unique(shingle_hashes(words, size).view(np.int64))
 
         yield from flush_every(1_000, schema)(rows())
 
-    named = pairs.select(F.col("a").alias("doc")).union(pairs.select("b")).distinct()
-    return map_batches(narrow.join(named, "doc", "left_semi"), run, "doc long, hashes array<long>")
+    named = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
+    wanted = bodies.join(named, "rep", "left_semi").select("rep", "place", "body")
+    return map_batches(
+        narrow.join(wanted, "place").select("rep", "body", "value"), run, "rep long, hashes array<long>"
+    )
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -248,5 +290,6 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
 
     ship_package(pairs.sparkSession)
     x, y = sets.alias("x"), sets.alias("y")
-    met = pairs.join(x, F.col("a") == F.col("x.doc")).join(y, F.col("b") == F.col("y.doc"))
-    return met.filter(jaccard(F.col("x.hashes"), F.col("y.hashes")) >= similarity).select("a", "b")
+    met = pairs.join(x, F.col("a") == F.col("x.rep")).join(y, F.col("b") == F.col("y.rep"))
+    # Rows that repeat a text repeat its set.
+    return met.filter(jaccard(F.col("x.hashes"), F.col("y.hashes")) >= similarity).select("a", "b").distinct()

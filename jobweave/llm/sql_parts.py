@@ -151,7 +151,7 @@ WITH p AS (
   SELECT *, array_to_string(list_transform(range(40), lambda i: right(('0x' || digest[i + 1])::INTEGER::BIT::VARCHAR, 4)), '') AS bits
   FROM m
 )
-SELECT page_id, octet_length(html::BLOB)::BIGINT AS payload_bytes,
+SELECT page_id, strlen(html)::BIGINT AS payload_bytes,
        array_to_string(list_transform(range(32), lambda i: 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[
          list_sum(list_transform(range(5), lambda k: bits[i * 5 + k + 1]::INTEGER * (1 << (4 - k)::INTEGER)))::INTEGER + 1]), '')
          AS payload_digest,

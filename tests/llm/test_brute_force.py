@@ -9,7 +9,8 @@ import pytest
 import tiktoken
 import xxhash
 
-from jobweave.llm.queries import QUERIES, tokenizer_files
+from jobweave.llm.byte_bpe import tokenizer_files
+from jobweave.llm.queries import QUERIES
 
 TRICKY = [
     (None, "a null id " * 30),
