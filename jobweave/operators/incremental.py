@@ -112,7 +112,11 @@ def upsert_partitions(
     if not touched:
         return
     target = read_or_empty(spark, path, source.schema)
-    merged = merge(target.filter(F.col(partition).isin(touched)), source, keys)
+    there = F.col(partition).isin([v for v in touched if v is not None])
+    if None in touched:
+        # The null folder is replaced like any other, so its rows take part in the merge too.
+        there = F.col(partition).isNull() | F.coalesce(there, F.lit(False))
+    merged = merge(target.filter(there), source, keys)
     staged = scratch_path(spark, "merge")
     merged.write.parquet(staged)
     (

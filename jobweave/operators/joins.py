@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from jobweave.functions import roles
 from jobweave.functions.keys import UNKNOWN_KEY, UNKNOWN_TITLE_KEY
+from jobweave.operators.dedup import best_per_key
 
 
 def spread_unknown(df: DataFrame, key: str, unknown: str | int, spread_by: str) -> Column:
@@ -29,7 +30,8 @@ def validate_foreign_key(
     fact: DataFrame, dim: DataFrame, key: str, unknown: str | int, spread_by: str
 ) -> DataFrame:
     """Keep keys the dimension knows; point the others at the unknown member."""
-    known = dim.select(F.col(key).alias("_known")).filter(F.col("_known") != F.lit(unknown))
+    # Hashed keys can collide; a key that two members share must not multiply facts.
+    known = dim.select(F.col(key).alias("_known")).filter(F.col("_known") != F.lit(unknown)).distinct()
     probe = fact.withColumn("_probe", spread_unknown(fact, key, unknown, spread_by))
     joined = probe.join(known, F.col("_probe") == F.col("_known"), "left")
     fallback = F.lit(unknown).cast(fact.schema[key].dataType)
@@ -37,10 +39,14 @@ def validate_foreign_key(
 
 
 def scoped_titles(dim_title: DataFrame) -> DataFrame:
-    """Titles a mart may show: known and in scope."""
-    return dim_title.filter(
+    """Titles a mart may show: known and in scope, one per key.
+
+    Two titles can share a hashed key; the first by name stands for both, so no fact is counted twice.
+    """
+    shown = dim_title.filter(
         (F.col("job_title_key") != UNKNOWN_TITLE_KEY) & ~F.col("role_family").isin(roles.EXCLUDED_FAMILIES)
     )
+    return best_per_key(shown, ["job_title_key"], [F.col("title_normalized").asc_nulls_last()])
 
 
 def benchmark_locations(dim_location: DataFrame) -> DataFrame:

@@ -20,6 +20,7 @@ from jobweave.operators.dedup import best_per_key, first_seen
 from jobweave.operators.joins import not_in
 from jobweave.sources.raw_zone import append_enrichment, path_part, scan_jsonl_tolerant
 from jobweave.session import scratch_path, ship_package
+from jobweave.sources.tables import stage
 
 # What a reply may contain.
 ROLE_FAMILIES = [
@@ -108,17 +109,23 @@ def capped(jobs: DataFrame, limit: int | None) -> DataFrame:
     return jobs.orderBy("query", "_file_path", "_line_id").limit(limit)
 
 
-def prompt_text(title: Column | str, description: Column | str) -> Column:
-    """Question part of the prompt; the description is cut at the fixed length."""
-    return F.concat(
-        F.lit("TITLE: "), as_col(title), F.lit("\nDESCRIPTION: "), F.substring(as_col(description), 1, MAX_DESCRIPTION)
-    )
+def prompt_text(title: Column | str, description: Column | str, max_description: int | None = None) -> Column:
+    """Question part of the prompt; the whole description, or its start where a model needs a limit."""
+    text = as_col(description)
+    if max_description is not None:
+        text = F.substring(text, 1, max_description)
+    return F.concat(F.lit("TITLE: "), as_col(title), F.lit("\nDESCRIPTION: "), text)
 
 
-def full_prompt(title: Column | str, description: Column | str, examples: list[tuple[str, str]]) -> Column:
+def full_prompt(
+    title: Column | str,
+    description: Column | str,
+    examples: list[tuple[str, str]],
+    max_description: int | None = None,
+) -> Column:
     """Examples as question and answer, then the question."""
     shots = [F.lit(f"{question}\n{answer}\n") for question, answer in examples]
-    return F.concat(*shots, prompt_text(title, description))
+    return F.concat(*shots, prompt_text(title, description, max_description))
 
 
 def _call_with_retries(call: Callable[[str], str], prompt: str, tries: int, first_wait: float) -> str:
@@ -126,11 +133,12 @@ def _call_with_retries(call: Callable[[str], str], prompt: str, tries: int, firs
     for attempt in range(tries):
         try:
             return call(prompt)
-        except CallError as error:
+        except Exception as error:  # any fault of one call must not repeat the calls of a whole task
             reason = f"{type(error).__name__}: {error}"
-            if not error.retryable:
+            if not getattr(error, "retryable", True):
                 break
-            time.sleep(first_wait * 2**attempt)
+            if attempt + 1 < tries:
+                time.sleep(first_wait * 2**attempt)
     return f"API_ERROR: {reason}"
 
 
@@ -256,16 +264,18 @@ def run_batch(
     limit: int | None = None,
     parallelism: int = PARALLEL_CALLS,
     first_wait: float = FIRST_WAIT,
+    max_description: int | None = None,
 ) -> DataFrame:
     """Sweep, select, ask, parse and append; returns what was appended.
 
     Replies are written before they are parsed, so no later step repeats a call.
     """
     todo = capped(pending(sweep(postings), seen_hashes(enriched, model, prompt)), limit)
-    asked = todo.withColumn("prompt", full_prompt("title", "description", examples or []))
+    asked = todo.withColumn("prompt", full_prompt("title", "description", examples or [], max_description))
     replies = scratch_path(spark, "replies")
     infer(asked, call, parallelism, first_wait=first_wait).write.parquet(replies)
-    records = to_records(parse_reply(spark.read.parquet(replies)), model, prompt)
+    # Stored once, so the returned rows carry the time that was appended.
+    records = stage(to_records(parse_reply(spark.read.parquet(replies)), model, prompt), "records")
     append_enrichment(
         records.withColumns({"endpoint": F.lit("job_search"), "ingestion_date": F.lit(day)}), out_root
     )

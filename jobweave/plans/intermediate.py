@@ -214,12 +214,12 @@ def int_salary_estimates(stg: DataFrame) -> DataFrame:
     )
 
 
-def int_company_duplicates(dim_company: DataFrame) -> DataFrame:
-    """Probable duplicate companies among those with at least two postings."""
+def int_company_duplicates(dim_company: DataFrame, min_postings: int = 2) -> DataFrame:
+    """Probable duplicate companies among those with at least ``min_postings`` postings; 1 compares all."""
     companies = dim_company.filter(
         (F.col("company_key") != keys.UNKNOWN_KEY)
         & (F.col("company_name_clean") != "Unknown")
-        & (F.col("total_postings") >= 2)
+        & (F.col("total_postings") >= min_postings)
     )
     pairs = similar_pairs(companies, "company_key", "company_name_clean")
     return classify_pairs(pairs, companies)

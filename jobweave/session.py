@@ -20,9 +20,9 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Recording the call site of every Column call costs more than building it.
-    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
+# Static, so it goes to the builder: recording the call site of every Column call costs more than building it.
+STATIC_DEFAULTS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
 
 _local_scratch: dict[str, tempfile.TemporaryDirectory] = {}
 _shipped: dict[str, tempfile.TemporaryDirectory] = {}
@@ -38,13 +38,18 @@ def build_session(
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in SESSION_DEFAULTS.items():
+    for key, value in STATIC_DEFAULTS.items():
         builder = builder.config(key, value)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    session = builder.getOrCreate()
+    given = session.sparkContext.getConf()
+    for key, value in SESSION_DEFAULTS.items():
+        if not given.contains(key):
+            session.conf.set(key, value)
+    return session
 
 
 def scratch_root(spark: SparkSession) -> str:

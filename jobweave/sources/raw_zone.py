@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -127,6 +127,19 @@ def safe_partition_value(value: Column | str) -> Column:
     return F.substring(F.translate(as_col(value), " /", "_-"), 1, 80)
 
 
+def folder_label(value: Column | str) -> Column:
+    """Folder name of a query label: different labels never share a folder.
+
+    A label that is safe as it is names its folder. Any other keeps the start
+    of its readable form and gets a hash of the whole label.
+    """
+    label = as_col(value)
+    hashed = F.concat(
+        F.substring(safe_partition_value(label), 1, 63), F.lit("-"), F.substring(F.md5(label), 1, 16)
+    )
+    return F.when(safe_partition_value(label) == label, label).otherwise(hashed)
+
+
 def query_label(
     query: Column | str, job_title: Column | str, location: Column | str, endpoint: Column | str
 ) -> Column:
@@ -145,7 +158,7 @@ def write_raw_zone(df: DataFrame, root: str) -> None:
     The rebalance groups rows by folder, so no task keeps a file open for every
     folder, and splits a folder larger than the advisory size over more tasks.
     """
-    safe = df.withColumn("query", safe_partition_value("query"))
+    safe = df.withColumn("query", folder_label("query"))
     (
         safe.hint("rebalance", *[F.col(c) for c in PARTITIONS])
         .write.mode("overwrite")
@@ -176,9 +189,3 @@ def explode_envelope(
     path = ".".join(["_reply", *[k for k in (key, subkey) if k]])
     parsed = df.withColumn("_reply", F.from_json(body, kind))
     return parsed.select(*[c for c in df.columns if c != body], F.explode(path).alias("record"))
-
-
-def in_file_order(df: DataFrame) -> DataFrame:
-    """Number the lines of each file from one."""
-    window = Window.partitionBy("_file_path").orderBy("_line_id")
-    return df.withColumn("line_number", F.row_number().over(window))

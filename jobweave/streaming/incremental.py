@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from jobweave.operators.dedup import latest_per_key
-from jobweave.operators.incremental import upsert_newest, upsert_partitions
+from jobweave.operators.dedup import dedup_keep_null_ids, latest_per_key
+from jobweave.operators.incremental import read_or_empty, upsert_newest, upsert_partitions
 from jobweave.sources.raw_zone import with_file_meta
 
 BUCKET = "bucket"
@@ -42,11 +42,37 @@ def dedup(stream: DataFrame, record_id: str, event_time: str, delay: str) -> Dat
     """Keep the first record per id seen within the delay.
 
     A stream cannot wait for the latest version, so unlike the batch model the
-    first one wins; state older than the delay is dropped.
+    first one wins; state older than the delay is dropped, and records later
+    than the delay with it. Use ``dedup_stored`` where none may be lost.
     """
     return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([record_id])
 
 
+def dedup_stored(
+    stream: DataFrame, path: str, record_id: str, first: list[str], checkpoint: str
+) -> StreamingQuery:
+    """Keep the first record per id however late it comes: batches are held against the stored ids.
+
+    State is the table itself, so nothing is dropped for being late and nothing
+    grows in memory. Each micro-batch writes a folder of its own, which a
+    replayed batch replaces. ``first`` orders the records of one batch; records
+    without an id are all kept.
+    """
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        new = dedup_keep_null_ids(batch, record_id, [F.col(c).asc() for c in first])
+        schema = T.StructType([*batch.schema.fields, T.StructField("_batch", T.LongType())])
+        stored = read_or_empty(batch.sparkSession, path, schema).filter(F.col("_batch") != batch_id)
+        unseen = new.join(stored.select(record_id), record_id, "left_anti").select(*batch.columns)
+        unseen.write.mode("overwrite").parquet(f"{path}/_batch={batch_id}")
+
+    return (
+        stream.writeStream.foreachBatch(apply)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def upsert_stream(
     stream: DataFrame,
     path: str,

@@ -16,7 +16,7 @@ from jobweave.functions.salary import midpoint_strict
 from jobweave.operators.similar import classify_pairs, similar_pairs
 from jobweave.operators.trend import sliced_windows
 from jobweave.plans import marts, staging
-from jobweave.plans.enrichment import has_required_fields, prompt_text
+from jobweave.plans.enrichment import MAX_DESCRIPTION, has_required_fields, prompt_text
 from jobweave.sources.tables import stage
 from jobweave.verify import dialect as d
 from jobweave.verify import inputs
@@ -579,7 +579,7 @@ def c45(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _columns("g4_text_truncation", "postings", {
     "prompt": (lambda: 
-        prompt_text("job_title", F.coalesce("job_description", F.lit(""))),
+        prompt_text("job_title", F.coalesce("job_description", F.lit("")), MAX_DESCRIPTION),
         "'TITLE: ' || job_title || chr(10) || 'DESCRIPTION: ' || substr(coalesce(job_description, ''), 1, 8000)",
     ),
 })

@@ -94,9 +94,9 @@ def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with place, part and numbering; unused joins carry few columns."""
     part = table(spark, sf_dir, "part")
     parts = part.select(F.count("*")).scalar()
-    # A driver table is one file with one row group and so one task; spreading
-    # the narrow orders lets the text and title work below use every core.
-    orders = table(spark, sf_dir, "orders").repartition(spark.sparkContext.defaultParallelism)
+    # A driver table is one file with one row group and so one task. The hint deals narrow orders
+    # into partitions of the advisory size, as many as there are data, not as there are cores.
+    orders = table(spark, sf_dir, "orders").hint("rebalance")
     orders = orders.withColumns(
         {
             "_part": F.col("o_orderkey") % parts,

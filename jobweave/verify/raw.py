@@ -40,14 +40,20 @@ def _zone_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         *fields,
         F.lit("salary_estimate").alias("endpoint"),
         F.trunc(c("_file_modified_at").cast("date"), "year").alias("ingestion_date"),
-        F.concat(F.lit("pay q/"), (c("ingest_seq") % 4).cast("string")).alias("query"),
+        # Two labels whose readable forms are equal: a blank and a slash, and what they are replaced by.
+        F.when(c("ingest_seq") % 4 == 2, F.lit("pay_q-1"))
+        .otherwise(F.concat(F.lit("pay q/"), (c("ingest_seq") % 4).cast("string")))
+        .alias("query"),
     )
 
 
 _ZONE_SQL = f"""{INPUT_SQL}, zone as (
     select *, 'salary_estimate' as endpoint, cast(date_trunc('year', ingestion_date) as date) as day,
-           'pay_q-' || cast(ingest_seq % 4 as varchar) as query from estimates
+           case when ingest_seq % 4 = 2 then 'pay_q-1'
+                else 'pay_q-' || (ingest_seq % 4) || '-' || left(md5('pay q/' || (ingest_seq % 4)), 16) end as query
+    from estimates
 )"""
+_RERUN_SQL = "(day = date '2023-01-01' and query = 'pay_q-1-' || left(md5('pay q/1'), 16))"
 
 
 def _zone(spark: SparkSession, sf_dir: str) -> str:
@@ -148,8 +154,8 @@ def a6(spark: SparkSession, sf_dir: str) -> DataFrame:
     "a7_partition_overwrite",
     f"{_ZONE_SQL} select day as ingestion_date, query, count(*) as records, "
     "cast(count(case when publisher_name = 'rerun' then 1 end) as bigint) as rerun_records from ("
-    "select * replace ('rerun' as publisher_name) from zone where day = date '2023-01-01' and query = 'pay_q-1' and salary_count > 20 "
-    "union all select * from zone where not (day = date '2023-01-01' and query = 'pay_q-1')) group by all",
+    f"select * replace ('rerun' as publisher_name) from zone where {_RERUN_SQL} and salary_count > 20 "
+    f"union all select * from zone where not {_RERUN_SQL}) group by all",
 )
 def a7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A second run of one partition replaces it and leaves the rest."""
@@ -339,19 +345,23 @@ def _swept(spark: SparkSession, sf_dir: str) -> DataFrame:
 _SWEPT_SQL = """
 with swept as (
     select cast(doc_id as varchar) as job_id, source as title, text as description,
-           'q_' || cast(least(doc_id % 5, (doc_id + 3) % 5) as varchar) as query
-    from documents where doc_id % 11 <> 0
+           least(doc_id % 5, (doc_id + 3) % 5) as label, doc_id % 11 = 0 as untitled,
+           'q_' || label || '-' || left(md5('q ' || label), 16) as query
+    from documents
 ),
-hashed as (
+hashed_all as (
     select *, sha256(lower(regexp_replace(title, '^\\s+|\\s+$', '', 'g')) || chr(10) ||
                      lower(regexp_replace(description, '^\\s+|\\s+$', '', 'g'))) as content_hash from swept
 ),
+hashed as (
+    select * from hashed_all where not untitled
+),
 seen as (
-    select distinct content_hash from hashed join labels on cast(doc_id as varchar) = job_id where quality = 1
+    select distinct content_hash from hashed_all join labels on cast(doc_id as varchar) = job_id where quality = 1
 )"""
 
 
-@query("f12_first_in_path_order", f"{_SWEPT_SQL} select job_id, query from swept")
+@query("f12_first_in_path_order", f"{_SWEPT_SQL} select job_id, query from swept where not untitled")
 def f12(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _swept(spark, sf_dir).filter(c("job_title") != "")
     return dedup.first_seen(rows, "job_id").select(
@@ -359,15 +369,15 @@ def f12(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("j1_content_hash", f"{_SWEPT_SQL} select job_id, content_hash from hashed")
+@query("j1_content_hash", f"{_SWEPT_SQL} select job_id, content_hash from hashed_all")
 def j1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").filter(c("doc_id") % 11 != 0)
+    docs = table(spark, sf_dir, "documents")
     return docs.select(
         c("doc_id").cast("string").alias("job_id"), enrichment.content_hash("source", "text").alias("content_hash")
     )
 
 
-@query("j2_sweep", f"{_SWEPT_SQL} select job_id, title, description, query from swept")
+@query("j2_sweep", f"{_SWEPT_SQL} select job_id, title, description, query from swept where not untitled")
 def j2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrichment.sweep(_swept(spark, sf_dir)).select("job_id", "title", "description", "query")
 
@@ -377,7 +387,7 @@ MODEL, PROMPT = "stub-1", "v1"
 
 def _stored(spark: SparkSession, sf_dir: str) -> str:
     """Enrichment records: good texts under this model, the others under an old one, and broken lines."""
-    docs = table(spark, sf_dir, "documents").filter(c("doc_id") % 11 != 0)
+    docs = table(spark, sf_dir, "documents")
     labeled = docs.join(table(spark, sf_dir, "labels"), "doc_id")
     record = F.struct(
         c("doc_id").cast("string").alias("job_id"),
@@ -422,7 +432,7 @@ EXAMPLES = [("TITLE: Example One\nDESCRIPTION: Python and SQL.", '{"role_family"
 )
 def j5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select(
-        "doc_id", enrichment.full_prompt("source", "text", EXAMPLES).alias("prompt")
+        "doc_id", enrichment.full_prompt("source", "text", EXAMPLES, enrichment.MAX_DESCRIPTION).alias("prompt")
     )
 
 
@@ -553,7 +563,7 @@ def stub_model(prompt: str) -> str:
 
 _STUB_SQL = """
 asked as (
-    select *, 'TITLE: ' || title || chr(10) || 'DESCRIPTION: ' || substr(description, 1, 8000) as prompt
+    select *, 'TITLE: ' || title || chr(10) || 'DESCRIPTION: ' || description as prompt
     from {source}
 ),
 answered as (
@@ -565,12 +575,12 @@ _FAMILY_SQL = f"list_extract({enrichment.ROLE_FAMILIES}, size % {len(enrichment.
 
 @query(
     "j9_call_failures",
-    f"{_SWEPT_SQL}, {_STUB_SQL.format(source='hashed')} select job_id, 'API_ERROR: CallError: ' || "
+    f"{_SWEPT_SQL}, {_STUB_SQL.format(source='hashed_all')} select job_id, 'API_ERROR: CallError: ' || "
     "case when size % 5 = 0 then 'bad request ' else 'server ' end || cast(size as varchar) as raw_response, "
     "'failed' as parse_status, 'other' as role_family from answered where size % 5 < 2",
 )
 def j9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").filter(c("doc_id") % 11 != 0)
+    docs = table(spark, sf_dir, "documents")
     asked = docs.select(
         c("doc_id").cast("string").alias("job_id"),
         enrichment.content_hash("source", "text").alias("content_hash"),
@@ -584,11 +594,11 @@ def j9(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "j10_batch_inference",
-    f"{_SWEPT_SQL}, {_STUB_SQL.format(source='hashed')} select job_id, content_hash, {_FAMILY_SQL} as role_family "
+    f"{_SWEPT_SQL}, {_STUB_SQL.format(source='hashed_all')} select job_id, content_hash, {_FAMILY_SQL} as role_family "
     "from answered where size % 5 >= 2",
 )
 def j10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").filter(c("doc_id") % 11 != 0)
+    docs = table(spark, sf_dir, "documents")
     asked = docs.select(
         c("doc_id").cast("string").alias("job_id"),
         enrichment.content_hash("source", "text").alias("content_hash"),
@@ -720,11 +730,12 @@ def l1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("l2_stream_dedup", "select distinct user_id from events")
 def l2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The delay covers the whole input, so each user is kept once whatever the order of files."""
+    """Each user is kept once, however late its events and whatever the order of files."""
     out = scratch_path(spark, "stream-out")
-    first = streams.dedup(_event_stream(spark, sf_dir), "user_id", "ts", "400 days").select("user_id")
-    streams.ingest(first, out, scratch_path(spark, "stream-check")).awaitTermination()
-    return spark.read.schema("user_id bigint").parquet(out)
+    streams.dedup_stored(
+        _event_stream(spark, sf_dir), out, "user_id", ["ts", "event_id"], scratch_path(spark, "stream-check")
+    ).awaitTermination()
+    return spark.read.parquet(out).select("user_id")
 
 
 @query(

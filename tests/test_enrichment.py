@@ -151,3 +151,21 @@ def test_scratch_needs_a_shared_folder():
 @pytest.mark.parametrize("status, again", [(None, True), (429, True), (500, True), (404, False)])
 def test_retryable(status, again):
     assert enrichment.CallError("x", status).retryable is again
+
+
+def test_stream_dedup_loses_no_late_record(spark, tmp_path):
+    source, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    batches = [[(1, 100), (2, 101)], [(3, 1), (1, 0)], [(2, 500), (None, 7), (None, 7)]]
+    for batch in batches:
+        spark.createDataFrame(batch, "id long, ts long").coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema("id long, ts long").parquet(source)
+        streams.dedup_stored(stream, out, "id", ["ts"], state).awaitTermination()
+    got = sorted((tuple(r) for r in spark.read.parquet(out).select("id", "ts").collect()), key=repr)
+    assert got == sorted([(1, 100), (2, 101), (3, 1), (None, 7), (None, 7)], key=repr)
+
+
+def test_any_fault_of_a_call_is_a_failed_reply():
+    def slow(prompt):
+        raise TimeoutError("late")
+
+    assert enrichment._call_with_retries(slow, "x", 2, 0.0) == "API_ERROR: TimeoutError: late"

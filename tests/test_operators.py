@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from jobweave.operators import audit, checks, dedup, incremental, joins, reshape, similar, trend
 from jobweave.session import scratch_path
+from jobweave.sources import raw_zone
 
 
 def rows(df):
@@ -192,3 +193,29 @@ def test_watermark_reaches_the_scan(spark, kind):
     assert fresh.count() == 6
     plan = fresh._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(t," in plan
+
+
+def test_upsert_keeps_rows_of_the_null_partition(spark):
+    path = scratch_path(spark, "nulls")
+    schema = "k int, day string, v int"
+    incremental.upsert_partitions(spark, path, spark.createDataFrame([(1, None, 1), (2, None, 1), (3, "a", 1)], schema), ["k"], "day")
+    incremental.upsert_partitions(spark, path, spark.createDataFrame([(9, None, 2), (2, None, 2)], schema), ["k"], "day")
+    got = spark.read.schema(schema).parquet(path).select("k", "day", "v")
+    assert rows(got) == sorted([(1, None, 1), (2, None, 2), (3, "a", 1), (9, None, 2)], key=repr)
+
+
+def test_a_shared_key_multiplies_no_fact(spark):
+    facts = spark.createDataFrame([(1, 5), (2, 5), (3, 6)], "job_id int, k bigint")
+    dim = spark.createDataFrame([(5, "x"), (5, "y")], "k bigint, title string")
+    got = joins.validate_foreign_key(facts, dim, "k", -1, "job_id").select("job_id", "k")
+    assert rows(got) == [(1, 5), (2, 5), (3, -1)]
+    titles = dim.selectExpr("k as job_title_key", "title as title_normalized", "'data' as role_family")
+    assert rows(joins.scoped_titles(titles).select("title_normalized")) == [("x",)]
+
+
+def test_labels_that_look_alike_keep_their_folders(spark):
+    labels = ["a b", "a_b", "a/b", "a-b", "x" * 90 + "1", "x" * 90 + "2"]
+    df = spark.createDataFrame([(x,) for x in labels], "label string")
+    folders = [r[0] for r in df.select(raw_zone.folder_label("label")).collect()]
+    assert len(set(folders)) == len(labels) and folders[1] == "a_b" and folders[3] == "a-b"
+    assert all(len(f) <= 80 and " " not in f and "/" not in f for f in folders)
