@@ -146,6 +146,7 @@ def int_salary_estimates(stg: DataFrame) -> DataFrame:
             F.col("publisher_name").asc_nulls_last(),
             F.col("job_title").asc(),
             F.col("location").asc(),
+            F.col("salaries_updated_at").desc_nulls_last(),
         ],
     )
 

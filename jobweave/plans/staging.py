@@ -6,13 +6,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobweave.functions.salary import midpoint_strict
-from jobweave.operators.dedup import latest_per_key
+from jobweave.operators.dedup import best_per_key
 from jobweave.sources.raw_zone import path_date
 
 POSTING_GRAIN = ["job_id", "ingestion_date"]
 SALARY_GRAIN = ["location", "job_title", "salaries_updated_at", "publisher_name"]
 
 
+def newest_record(raw: DataFrame) -> list[Column]:
+    """Newest file first; records of one file that share a key are ordered by a hash of their content, not by chance."""
+    content = F.xxhash64(*[F.col(c) for c in sorted(raw.columns)])
+    return [F.col("_file_modified_at").desc_nulls_last(), F.col("_file_path").desc_nulls_last(), content.asc()]
+
+
 def canonical(column: str) -> Column:
     return F.lower(F.trim(column))
 
@@ -23,11 +29,10 @@ def stg_jobs(raw: DataFrame) -> DataFrame:
     The posting time is UTC by contract, so it is kept without a zone and its
     day does not depend on the session.
     """
-    latest = latest_per_key(
+    latest = best_per_key(
         raw.filter(F.col("job_id").isNotNull()).withColumn("ingestion_date", path_date("_file_path")),
         POSTING_GRAIN,
-        "_file_modified_at",
-        "_file_path",
+        newest_record(raw),
     )
     low, high = F.col("job_min_salary"), F.col("job_max_salary")
     posted = F.col("job_posted_at_datetime_utc").try_cast("timestamp_ntz")
@@ -77,7 +82,7 @@ def stg_salary_history(raw: DataFrame) -> DataFrame:
         for kind in ("salary", "base_salary", "additional_pay")
         for bound in ("min", "max", "median")
     ]
-    latest = latest_per_key(typed, SALARY_GRAIN, "_ingested_at", "_file_path")
+    latest = best_per_key(typed, SALARY_GRAIN, newest_record(typed))
     # The missing-median filter comes after the choice of the latest record.
     return latest.filter(F.col("median_salary").isNotNull()).select(
         "job_title",

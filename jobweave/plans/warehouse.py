@@ -116,6 +116,8 @@ class Warehouse:
 
 
 TABLES = [
+    "stg_jobs",
+    "stg_salary_history",
     "int_jobs_enriched",
     "int_job_titles_normalized",
     "int_salary_estimates",

@@ -81,3 +81,11 @@ def test_staging_reads_the_raw_zone(spark, sf_dir):
     stg = staging.stg_jobs(scan_jsonl(spark, root, schemas.POSTING, "*.json"))
     assert stg.count() == rows_.select("job_id").distinct().count()
     assert [str(r[0]) for r in stg.select("ingestion_date").distinct().collect()] == ["2024-02-29"]
+
+
+def test_ties_of_one_file_do_not_depend_on_chance(spark, sf_dir):
+    """Records with one key, time and path: any order of rows gives the same winners."""
+    raw = inputs.postings(spark, sf_dir).limit(300).withColumn("_file_modified_at", F.lit("2024-01-01").cast("timestamp_ntz"))
+    raw = raw.withColumn("_file_path", F.lit("/raw/ingestion_date=2024-01-01/query=q/data.json")).withColumn("job_id", F.lit("1"))
+    both = [staging.stg_jobs(raw.repartition(n).sortWithinPartitions(F.rand(n))).collect() for n in (1, 7)]
+    assert len(both[0]) == 1 and both[0] == both[1]
