@@ -56,31 +56,18 @@ def dim_location(jobs: DataFrame, estimates: DataFrame) -> DataFrame:
             "salary": estimates.select("location_key", "city", "region", "country"),
         }
     )
-    # The flags of the representative row only: it is the one with the longest
-    # region, then the longest city.
-    spellings = (
+    # A place may be spelled in several ways; the flags say whether a source has it in any of them.
+    resolved = (
         seen.filter(F.col("location_key") != keys.UNKNOWN_KEY)
-        .groupBy("location_key", "city", "region", "country")
+        .groupBy("location_key")
         .agg(
+            longest_value("city").alias("city_clean"),
+            longest_value("region").alias("region_clean"),
+            longest_value("country").alias("country_clean"),
             F.bool_or(F.col("source") == "jobs").alias("in_job_postings"),
             F.bool_or(F.col("source") == "salary").alias("in_salary_estimates"),
         )
     )
-    blank = F.lit("")
-    size = F.struct(
-        F.length(F.coalesce("region", blank)),
-        F.length(F.coalesce("city", blank)),
-        F.coalesce("region", blank),
-        F.coalesce("city", blank),
-        F.coalesce("country", blank),
-    )
-    resolved = spellings.groupBy("location_key").agg(
-        longest_value("city").alias("city_clean"),
-        longest_value("region").alias("region_clean"),
-        longest_value("country").alias("country_clean"),
-        F.max_by("in_job_postings", size).alias("in_job_postings"),
-        F.max_by("in_salary_estimates", size).alias("in_salary_estimates"),
-    )
     dim = resolved.select(
         "location_key",
         "city_clean",
