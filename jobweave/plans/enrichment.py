@@ -37,7 +37,8 @@ REPLY_FIELDS = ["role_family", "seniority", "skills_required", "skills_preferred
 MAX_DESCRIPTION = 8000
 TRIES = 3
 FIRST_WAIT = 5.0
-PARALLEL_CALLS = 8
+# A lost task repeats at most so many calls.
+CALLS_PER_TASK = 200
 
 
 class CallError(Exception):
@@ -145,13 +146,14 @@ def _call_with_retries(call: Callable[[str], str], prompt: str, tries: int, firs
 def infer(
     jobs: DataFrame,
     call: Callable[[str], str],
-    parallelism: int = PARALLEL_CALLS,
+    parallelism: int | None = None,
     tries: int = TRIES,
     first_wait: float = FIRST_WAIT,
 ) -> DataFrame:
     """Ask the model once per row of (job_id, content_hash, query, prompt).
 
-    The number of partitions is the number of calls in flight. A retried task
+    Partitions hold about ``CALLS_PER_TASK`` rows, or there are ``parallelism`` of
+    them; the cluster's task slots bound the calls in flight. A retried task
     repeats its calls, so the result is written once and read from there.
     """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -162,7 +164,8 @@ def infer(
     ship_package(jobs.sparkSession)
     schema = "job_id string, content_hash string, query string, raw_response string"
     asked = jobs.select("job_id", "content_hash", "query", "prompt")
-    return asked.repartition(parallelism, "content_hash").mapInPandas(run, schema)
+    tasks = parallelism or max(1, -(-jobs.count() // CALLS_PER_TASK))
+    return asked.repartition(tasks, "content_hash").mapInPandas(run, schema)
 
 
 def _string_items(items: Column) -> Column:
@@ -262,7 +265,7 @@ def run_batch(
     prompt: str,
     examples: list[tuple[str, str]] | None = None,
     limit: int | None = None,
-    parallelism: int = PARALLEL_CALLS,
+    parallelism: int | None = None,
     first_wait: float = FIRST_WAIT,
     max_description: int | None = None,
 ) -> DataFrame:
@@ -271,7 +274,8 @@ def run_batch(
     Replies are written before they are parsed, so no later step repeats a call.
     """
     todo = capped(pending(sweep(postings), seen_hashes(enriched, model, prompt)), limit)
-    asked = todo.withColumn("prompt", full_prompt("title", "description", examples or [], max_description))
+    # Stored, so counting the calls to make doesn't repeat the sweep.
+    asked = stage(todo.withColumn("prompt", full_prompt("title", "description", examples or [], max_description)), "asked")
     replies = scratch_path(spark, "replies")
     infer(asked, call, parallelism, first_wait=first_wait).write.parquet(replies)
     # Stored once, so the returned rows carry the time that was appended.
