@@ -120,14 +120,31 @@ def _shared(rows: DataFrame, keys: list[str], live: DataFrame) -> DataFrame:
     return rows.join(live, keys).groupBy("doc").agg(F.collect_set(keys[0]).alias("known"))
 
 
+def whole_copies(narrow: DataFrame) -> DataFrame:
+    """The ids all of whose texts have the words of a text with a smaller id."""
+    schema = pa.schema([("doc", pa.int64()), ("body", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bodies = [xxhash.xxh3_128_digest(b" ".join(words_of(t))) for t in batch["value"].to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch["doc"], pa.array(bodies, pa.binary())], schema=schema)
+
+    bodies = stage(map_batches(narrow, run, "doc long, body binary"), "sub-bodies")
+    first = bodies.groupBy("body").agg(F.min("doc").alias("first"))
+    copied = bodies.join(first, "body").groupBy("doc").agg(F.bool_and(F.col("first") < F.col("doc")).alias("copied"))
+    return copied.filter("copied").select("doc")
+
+
 def repeated_windows(docs: DataFrame, doc_id: str, text: str, window: int = WINDOW) -> DataFrame:
-    """(doc, gone): per document the hashes of its windows that also start in a document with a smaller id.
+    """(doc, gone, copied): per document the hashes of its windows that also start in a document with a smaller id.
 
-    ``gone`` holds pairs of hashes (96 bits), so equality of hashes stands for equality of words at any size.
+    ``gone`` holds pairs of hashes (96 bits), so equality of hashes stands for equality of words at any size. Of
+    whole copies all windows go, so they are ``copied`` and send none: the first of them stands for all.
     """
     block = window // 2
     # A repeat of ``window`` words must hold a whole aligned block: 2 * block - 1 <= window.
     narrow = docs.select(id_key(doc_id).alias("doc"), F.col(text).alias("value"))
+    copies = stage(whole_copies(narrow), "sub-copies")
     keyed = pa.schema([("key", pa.int64()), ("doc", pa.int64())])
 
     def sketch(doc: int, words: np.ndarray, known: np.ndarray):
@@ -137,7 +154,8 @@ def repeated_windows(docs: DataFrame, doc_id: str, text: str, window: int = WIND
     nothing = F.lit(None).cast("array<bigint>").alias("known")
     sketches = stage(_spread(narrow.select("*", nothing), sketch, keyed, "key long, doc long"), "sub-sketch")
     low_high = sketches.groupBy("key").agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
-    places = stage(_shared(sketches, ["key"], low_high.filter("low < high").select("key")), "sub-places")
+    places = _shared(sketches, ["key"], low_high.filter("low < high").select("key"))
+    places = stage(places.join(copies, "doc", "left_anti"), "sub-places")
 
     probe_schema = pa.schema([("key", pa.int64()), ("doc", pa.int64()), ("indexed", pa.bool_())])
 
@@ -172,7 +190,9 @@ def repeated_windows(docs: DataFrame, doc_id: str, text: str, window: int = WIND
     )
     earliest = windows.groupBy("key", "check").agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
     later = windows.join(earliest.filter("low < high"), ["key", "check"]).filter("low < doc")
-    return stage(later.groupBy("doc").agg(F.collect_set(F.struct("key", "check")).alias("gone")), "sub-gone")
+    gone = later.groupBy("doc").agg(F.collect_set(F.struct("key", "check")).alias("gone"))
+    gone = gone.withColumn("copied", F.lit(False))
+    return stage(gone.unionByName(copies.withColumn("copied", F.lit(True)), allowMissingColumns=True), "sub-gone")
 
 
 def _checks(words: np.ndarray, window: int) -> np.ndarray:
@@ -198,12 +218,14 @@ def substring_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     out = pa.struct([("text", pa.string()), ("n_words", pa.int64()), ("n_removed", pa.int64())])
 
     @F.arrow_udf("struct<text: string, n_words: bigint, n_removed: bigint>")
-    def kept(values: pa.Array, lists: pa.Array) -> pa.Array:
+    def kept(values: pa.Array, lists: pa.Array, copies: pa.Array) -> pa.Array:
         rows = []
-        for value, drop in zip(values.to_pylist(), lists):
+        for value, drop, copied in zip(values.to_pylist(), lists, copies.to_pylist()):
             words = words_of(value)
             lost = 0
-            if drop.is_valid and len(words) >= window:
+            if copied and len(words) >= window:
+                value, lost = "", len(words)
+            elif drop.is_valid and len(words) >= window:
                 pairs = drop.values
                 keys = pairs.field("key").to_numpy(zero_copy_only=False)
                 checks = pairs.field("check").to_numpy(zero_copy_only=False)
@@ -225,8 +247,8 @@ def substring_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     new = F.col("_sd_new")
     return (
         docs.withColumn("_sd_doc", id_key(doc_id))
-        .join(gone.select(F.col("doc").alias("_sd_doc"), F.col("gone").alias("_sd_gone")), "_sd_doc", "left")
-        .withColumn("_sd_new", kept(F.col(text), F.col("_sd_gone")))
+        .join(gone.toDF("_sd_doc", "_sd_gone", "_sd_copied"), "_sd_doc", "left")
+        .withColumn("_sd_new", kept(F.col(text), F.col("_sd_gone"), F.col("_sd_copied")))
         .withColumns({text: new["text"], "n_words": new["n_words"], "n_removed": new["n_removed"]})
-        .drop("_sd_doc", "_sd_gone", "_sd_new")
+        .drop("_sd_doc", "_sd_gone", "_sd_copied", "_sd_new")
     )
