@@ -13,12 +13,15 @@ from __future__ import annotations
 import base64
 import heapq
 import json
-import struct
+import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import cached_property
 
+import numpy as np
 import pyarrow as pa
 import regex
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -145,12 +148,49 @@ def fold_merges(word: Column, vocabulary: Vocabulary) -> Column:
     return F.aggregate(steps, first, step, lambda state: state["ids"])
 
 
+def splitter(pattern: str) -> Callable[[str], list[str]]:
+    """All matches of ``pattern`` in a text, in order.
+
+    For the common split pattern of byte-level vocabularies the standard
+    library's faster engine does the same with its own classes, unless a text
+    has a number sign that isn't a decimal digit, which these tell apart.
+    """
+    find = regex.compile(pattern).findall
+    if pattern != tokenizer_files().PATTERN:
+        return find
+    # The signs of the White_Space property.
+    blank = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+    numbers = {c for c in map(chr, range(0x110000)) if c.isnumeric() and not c.isdecimal()}
+    # Up to U+00FF there are six of them; only texts with higher signs are looked through sign by sign.
+    unclear = re.compile("[\xb2\xb3\xb9\xbc-\xbe\u0100-\U0010ffff]").search
+    fast = re.compile(
+        rf"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:_|[^{blank}\w])+|[{blank}]+(?![^{blank}])|[{blank}]+"
+    ).findall
+
+    def found(text: str) -> list[str]:
+        plain = text.isascii() or not unclear(text) or numbers.isdisjoint(text)
+        return fast(text) if plain else find(text)
+
+    return found
+
+
+_splitters: dict[str, Callable[[str], list[str]]] = {}
+
+
+def split(pattern: str) -> Callable[[str], list[str]]:
+    """The pattern's splitter, made once in each task's process."""
+    if pattern not in _splitters:
+        _splitters[pattern] = splitter(pattern)
+    return _splitters[pattern]
+
+
 def word_counts(docs: DataFrame, text: str, pattern: str) -> DataFrame:
     """(word, n): the distinct words of all texts as bytes, counted in the tasks before the shuffle."""
-    find = regex.compile(pattern).findall
     schema = pa.schema([("word", pa.binary()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        find = split(pattern)
+
         def rows() -> Iterator[tuple]:
             counts: Counter[str] = Counter()
             for batch in batches:
@@ -169,7 +209,7 @@ def word_counts(docs: DataFrame, text: str, pattern: str) -> DataFrame:
 
 
 def encoded_words(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """(word, n, ids) for the distinct words (word, n): folded, or by the heap where they are long."""
+    """(word, n, ids) for the distinct words (word, n): folded, or by the heap where they are long; ids packed."""
     byte_ids, merges = vocabulary.byte_ids, vocabulary.merges
     schema = pa.schema([("word", pa.binary()), ("n", pa.int64()), ("ids", pa.list_(pa.int32()))])
 
@@ -181,11 +221,18 @@ def encoded_words(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     short = words.filter(F.octet_length("word") <= FOLD_BYTES)
     folded = short.select("word", "n", fold_merges(F.col("word"), vocabulary).alias("ids"))
     long = words.filter(F.octet_length("word") > FOLD_BYTES).select("word", "n")
-    return folded.union(map_batches(long, run, "word binary, n long, ids array<int>"))
+    ids = folded.union(map_batches(long, run, "word binary, n long, ids array<int>"))
+    out_schema = pa.schema([("word", pa.binary()), ("n", pa.int64()), ("ids", pa.binary())])
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch["word"], batch["n"], packed_lists(batch["ids"])], schema=out_schema)
 
+    return map_batches(ids, pack, "word binary, n long, ids binary")
 
-def common_part(encoded: DataFrame, limit: int) -> dict[bytes, bytes]:
-    """At most ``limit`` of the commonest short words with their ids as bytes.
+
+def common_part(encoded: DataFrame, limit: int) -> pa.Table:
+    """(word, ids) of at most ``limit`` of the commonest short words.
 
     Counts are sorted into classes, of which there are a few hundred at most;
     whole classes are taken from the top while they fit. So this is bounded by
@@ -194,21 +241,41 @@ def common_part(encoded: DataFrame, limit: int) -> dict[bytes, bytes]:
     rank = F.floor(F.log2("n") * 8).cast("int")
     short = encoded.filter(F.octet_length("word") <= FOLD_BYTES).withColumn("class", rank)
     sizes = sorted(((r["class"], r["count"]) for r in short.groupBy("class").count().collect()), reverse=True)
-    total, lowest = 0, None
+    total, lowest = 0, _NONE
     for cls, count in sizes:
         total += count
         if total > limit:
             break
         lowest = cls
-    if lowest is None:
-        return {}
-    taken = short.filter(F.col("class") >= lowest).select("word", "ids").toArrow()
-    return {w: pack(i) for w, i in zip(taken["word"].to_pylist(), taken["ids"].to_pylist())}
+    return short.filter(F.col("class") >= lowest).select("word", "ids").toArrow()
+
+
+class CommonWords:
+    """What every task gets of the commonest words: two Arrow columns, made a dictionary in the task's process."""
+
+    def __init__(self, table: pa.Table):
+        self.words, self.ids = (table[c].combine_chunks() if table.num_rows else pa.array([], pa.binary()) for c in ("word", "ids"))
 
+    @cached_property
+    def ids_of(self) -> dict[str, bytes]:
+        return {w.decode(): i for w, i in zip(self.words.to_pylist(), self.ids.to_pylist())}
 
-def pack(ids: list[int]) -> bytes:
-    """Ids as little-endian unsigned 32-bit integers."""
-    return struct.pack(f"<{len(ids)}I", *ids)
+
+def packed_lists(lists: pa.Array) -> pa.Array:
+    """Lists of ids as little-endian unsigned 32-bit integers in a row: the form their values have in memory."""
+    flat = lists.values.to_numpy(zero_copy_only=False).astype("<u4").tobytes()
+    ends = lists.offsets.to_pylist()
+    return pa.array([flat[4 * a : 4 * b] for a, b in zip(ends, ends[1:])], pa.binary())
+
+
+def packed(ids: Column) -> Column:
+    """``packed_lists`` of a column; null is empty."""
+
+    @F.arrow_udf("binary")
+    def to_bytes(lists: pa.Array) -> pa.Array:
+        return packed_lists(lists)
+
+    return to_bytes(F.coalesce(ids, F.array().cast("array<int>")))
 
 
 def encode(
@@ -224,46 +291,59 @@ def encode(
 
     Every match of ``pattern`` in the text is merged separately; no special
     tokens. Null and empty texts have no ids. Ids of documents may be null or
-    repeat: they only say where a word list is needed. Whole texts are encoded,
-    words of any length exactly.
+    repeat: with a hash of the text they only say where a word list belongs.
+    Whole texts are encoded, words of any length exactly.
     """
     spark = docs.sparkSession
-    encoded = stage(encoded_words(word_counts(docs, text, pattern), vocabulary), "bpe-words")
-    shared = spark.sparkContext.broadcast(common_part(encoded, common_words))
-    find = regex.compile(pattern).findall
-    rare_schema = pa.schema([("word", pa.binary()), ("doc", pa.int64())])
+    ship_package(spark)
+    # Stored, since short and long words are read apart.
+    counts = stage(word_counts(docs, text, pattern), "bpe-counts")
+    encoded = stage(encoded_words(counts, vocabulary), "bpe-words")
+    shared = spark.sparkContext.broadcast(CommonWords(common_part(encoded, common_words)))
+    rare_schema = pa.schema([("word", pa.binary()), ("doc", pa.int64()), ("slot", pa.int64())])
+
+    def rare_words(words: list[str], common: dict[str, bytes]) -> list[str]:
+        return [w for w in dict.fromkeys(words) if w not in common]
+
+    def first_slot(value: str) -> int:
+        """Slots of a text: its hash above the number of the word in it."""
+        return xxhash.xxh32_intdigest(value) << 31
 
     def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        find, common = split(pattern), shared.value.ids_of
+
         def rows() -> Iterator[tuple]:
-            common = shared.value
             for batch in batches:
                 for doc, value in zip(batch["doc"].to_pylist(), batch["value"].to_pylist()):
-                    for word in set(find(value)) if value else ():
-                        if (w := word.encode()) not in common:
-                            yield w, doc
+                    if value:
+                        start = first_slot(value)
+                        for k, word in enumerate(rare_words(find(value), common)):
+                            yield word.encode(), doc, start + k
 
         yield from flush_every(50_000, rare_schema)(rows())
 
     narrow = docs.select(id_key(doc_id).alias("doc"), F.col(text).alias("value"))
-    asked = map_batches(narrow, rare, "word binary, doc long")
+    asked = map_batches(narrow, rare, "word binary, doc long, slot long")
     found = asked.join(encoded.select("word", "ids"), "word")
-    lists = stage(found.groupBy("doc").agg(F.collect_list(F.struct("word", "ids")).alias("words")), "bpe-lists")
+    lists = stage(found.groupBy("doc").agg(F.collect_list(F.struct("slot", "ids")).alias("words")), "bpe-lists")
 
     @F.arrow_udf("array<int>")
     def looked_up(values: pa.Array, own: pa.Array) -> pa.Array:
-        common, out = shared.value, []
-        for value, words in zip(values.to_pylist(), own.to_pylist()):
-            rest = {w["word"]: pack(w["ids"]) for w in words or ()}
-            known = [common.get(w) or rest[w] for w in (m.encode() for m in find(value or ""))]
-            out.append(b"".join(known))
-        flat = pa.py_buffer(b"".join(out))
-        ends = [0]
-        for packed in out:
-            ends.append(ends[-1] + len(packed) // 4)
-        values = pa.Array.from_buffers(pa.int32(), ends[-1], [None, flat])
+        find, common, out, ends = split(pattern), shared.value.ids_of, [], [0]
+        for value, slots in zip(values.to_pylist(), own):
+            words = find(value) if value else []
+            if slots.is_valid and words:
+                start = first_slot(value)
+                ids_at = dict(zip(slots.values.field("slot").to_pylist(), slots.values.field("ids").to_pylist()))
+                rest = {w: ids_at[start + k] for k, w in enumerate(rare_words(words, common))}
+                one = b"".join([common.get(w) or rest[w] for w in words])
+            else:
+                one = b"".join([common[w] for w in words])
+            out.append(one)
+            ends.append(ends[-1] + len(one) // 4)
+        values = pa.Array.from_buffers(pa.int32(), ends[-1], [None, pa.py_buffer(b"".join(out))])
         return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
 
-    ship_package(spark)
     return (
         docs.withColumn("_bpe_doc", id_key(doc_id))
         .join(lists.select(F.col("doc").alias("_bpe_doc"), F.col("words").alias("_bpe_words")), "_bpe_doc", "left")
@@ -273,16 +353,19 @@ def encode(
 
 
 def decode(ids: Column, vocabulary: Vocabulary) -> Column:
-    """The bytes of an array of ids: the pieces in hex, looked up by place, joined and read as binary."""
-    pieces = F.split(F.lit(",".join(p.hex() for p in vocabulary.pieces)), ",")
-    return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(pieces, i)), ""))
+    """The bytes of an array of ids: the pieces joined."""
+    pieces = vocabulary.pieces
 
+    @F.arrow_udf("binary")
+    def joined(lists: pa.Array) -> pa.Array:
+        table = np.array([*pieces, b""], dtype=object)[:-1]
+        chosen = table[lists.values.to_numpy(zero_copy_only=False)]
+        ends = lists.offsets.to_pylist()
+        return pa.array([b"".join(chosen[a:b]) for a, b in zip(ends, ends[1:])], pa.binary())
 
-def ids_digest(ids: Column) -> Column:
-    """SHA-256 (lower-case hex) of the ids as little-endian unsigned 32-bit integers."""
+    return joined(F.coalesce(ids, F.array().cast("array<int>")))
 
-    @F.arrow_udf("binary")
-    def packed(lists: pa.Array) -> pa.Array:
-        return pa.array([pack(v or []) for v in lists.to_pylist()], pa.binary())
 
+def ids_digest(ids: Column) -> Column:
+    """SHA-256 (lower-case hex) of the ids as little-endian unsigned 32-bit integers."""
     return F.sha2(packed(ids), 256)

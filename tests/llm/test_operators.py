@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from jobweave.llm import byte_bpe, chat_format, language_id, quality_rules, warc
-from jobweave.llm.common import connected_components
+from jobweave.llm.common import connected_components, stage
 from jobweave.llm.decontaminate import contained_items
 from jobweave.llm.line_dedup import line_chunks, line_dedup
 from jobweave.llm.sharding import lookup_table, place
@@ -138,7 +138,7 @@ def test_heap_and_fold_agree(spark):
     rng = random.Random(1)
     words = [bytes(rng.choice(b"ab\xff") for _ in range(rng.randrange(1, 40))) for _ in range(300)]
     df = spark.createDataFrame([(bytearray(w),) for w in words], "word binary")
-    folded = df.select("word", byte_bpe.fold_merges(F.col("word"), vocabulary).alias("ids"))
+    folded = stage(df.select("word", byte_bpe.fold_merges(F.col("word"), vocabulary).alias("ids")), "folded")
     for row in folded.collect():
         assert row.ids == byte_bpe.merge_long(bytes(row.word), vocabulary.byte_ids, vocabulary.merges)
     back = folded.select("word", byte_bpe.decode(F.col("ids"), vocabulary).alias("b")).collect()
