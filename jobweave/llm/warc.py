@@ -167,7 +167,9 @@ class WarcReader(DataSourceReader):
             names = manifest.read().decode().split()
         return [WarcFile(f"{root}/{n}") for n in names]
 
-    def read(self, partition: WarcFile) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: WarcFile | None) -> Iterator[pa.RecordBatch]:
+        if partition is None:  # an archive without files
+            return
         system, _ = split_path(self.path)
         held, size = [], 0
         schema = pa.schema([_SHORT.field(c) for c in self.columns])
