@@ -10,6 +10,7 @@ whatever the size of the table.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -180,22 +181,24 @@ def near_groups(
     """(doc, body, component), one row per row of ``docs``; ``doc`` is the id as a key, ``body`` the text's digest.
 
     Two texts are near copies if the Jaccard similarity of their sets of
-    ``size``-word shingles (A-Z in lower case) is at least ``similarity``. At
-    0.8 one 64-bit SimHash of shingles differs in 4 to 14 bits, too far for a
-    ball. So candidates come from ``parts`` fingerprints of ``bits`` bits over
-    words, of which about one in fifty differs between such texts: each part
-    is within ``radius`` bits in about half of all cases, and 8 parts miss
-    0.4 % at 0.8 and fewer above. Every link is verified on the exact sets.
+    ``size``-word shingles (A-Z in lower case) is at least ``similarity``. The
+    result is complete: texts that near copies connect share a component, and
+    no others do, as every link is verified on the exact sets.
+
+    Three rounds find the links. The first takes candidates from ``parts``
+    fingerprints of ``bits`` bits over words by ball hashing: cheap, and it joins
+    most of a large family, but it misses many texts that differ by a block. The
+    others search by the rarest shingles of a text (``_rare_entries``), of which
+    near copies always share one: first against one head of each shingle, then
+    every pair that is still in different components.
 
     Texts are the nodes, known by their digest, so ids may be null or repeat.
     Equal word sequences are one node: large groups of exact copies cost
-    nothing. Of texts with equal parts one stands for them in the ball; the
-    others link to it. Links are verified in two rounds, the second without
-    those inside components of the first. Null and empty texts are copies of
-    each other.
+    nothing. Null and empty texts are copies of each other.
     """
     read_schema = pa.schema(
-        [("doc", pa.int64()), ("place", pa.int64()), ("body", pa.binary()), ("fps", pa.list_(pa.int64()))]
+        [("doc", pa.int64()), ("place", pa.int64()), ("body", pa.binary())]
+        + [("fps", pa.list_(pa.int64())), ("low", pa.list_(pa.int64()))]
     )
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,14 +206,16 @@ def near_groups(
             for batch in batches:
                 for doc, place, value in zip(*(batch[c].to_pylist() for c in ("doc", "place", "value"))):
                     words = [w.lower() for w in words_of(value)]
-                    yield doc, place, body_digest(words), part_fingerprints(words, parts, bits) if words else None
+                    hashes = np.unique(shingle_hashes(words, size).view(np.int64))
+                    low = hashes[: most_missed(len(hashes), similarity) + 1]
+                    yield doc, place, body_digest(words), part_fingerprints(words, parts, bits) if words else None, low
 
-        yield from flush_every(5_000, read_schema)(rows())
+        yield from flush_every(1_000, read_schema)(rows())
 
     # Where a text can be fetched again: its id, or a hash of it where there is none.
     place = F.coalesce(F.col(doc_id).cast("long"), F.xxhash64(text))
     narrow = docs.select(id_key(doc_id).alias("doc"), place.alias("place"), F.col(text).alias("value"))
-    held = stage(map_batches(narrow, read, "doc long, place long, body binary, fps array<long>"), "near-fps")
+    held = stage(map_batches(narrow, read, "doc long, place long, body binary, fps array<long>, low array<long>"), "near-fps")
     bodies = held.groupBy("body").agg(F.min("place").alias("place"), F.first("fps").alias("fps"))
     bodies = stage(bodies.withColumn("rep", F.xxhash64("body")), "near-bodies")
 
@@ -238,25 +243,118 @@ def near_groups(
     )
     pairs = stage(pairs, "near-pairs")
 
-    sets = stage(_shingle_sets(narrow, bodies, pairs, size), "near-sets")
-    first = stage(_verified(pairs.groupBy("b").agg(F.min("a").alias("a")), sets, similarity), "near-links-1")
-    known = connected_components(first, "a", "b", "near-1")
+    # Near copies share one of their lowest hashes. Of texts that share none nothing more is read.
+    low = held.select(F.xxhash64("body").alias("rep"), F.explode("low").alias("token"))
+    shared = low.groupBy("token").agg(F.min("rep").alias("x"), F.max("rep").alias("y")).filter("x < y").select("token")
+    suspects = low.join(shared, "token", "left_semi").select("rep")
+    named = suspects.union(pairs.select("a")).union(pairs.select("b")).distinct()
+    sets = stage(_shingle_sets(narrow, bodies, named, size), "near-sets")
+    entries = stage(_rare_entries(sets, similarity), "near-entries")
+
+    links = stage(_verified(pairs.groupBy("b").agg(F.min("a").alias("a")), sets, similarity), "near-links-1")
+    known = connected_components(links, "a", "b", "near-1")
+    placed = _with_component(entries, known)
+    rest = _across(pairs, known).union(_head_pairs(placed, similarity)).distinct()
+    links = stage(links.union(_verified(rest, sets, similarity).select("a", "b")), "near-links-2")
+    known = connected_components(links, "a", "b", "near-2")
+    last = stage(_all_pairs(_with_component(entries, known), similarity), "near-pairs-3")
+    links = links.union(_verified(last, sets, similarity).select("a", "b"))
+    roots = connected_components(links, "a", "b", "near-3")
+    named = bodies.select("body", "rep").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
+    labels = named.select("body", F.coalesce("component", "rep").alias("component"))
+    return stage(held.select("doc", "body").join(labels, "body"), "near-groups")
+
+
+# Rounding in a bound must never lose a pair; a bound that is too low by one only adds a candidate.
+_SLACK = 1e-6
+
+
+def most_missed(n: int, similarity: float) -> int:
+    """How many of its ``n`` shingles a text may not share with a near copy."""
+    return n - math.ceil(similarity * n - _SLACK)
+
+
+def _rare_entries(sets: DataFrame, similarity: float) -> DataFrame:
+    """(rep, n, token, at): of each text that can have a near copy its rarest shared shingles and their places.
+
+    Of ``n`` shingles a near copy lacks ``most_missed`` at most, so in one order
+    for all texts, rarest first, one of the first ``most_missed + 1`` is shared:
+    the prefix filter. Those that no other text has come first and need no
+    entry; a text with more of them than it may miss has no near copy.
+    """
+    tokens = sets.select("rep", F.size("hashes").alias("n"), F.explode("hashes").alias("token"))
+    counts = tokens.groupBy("token").agg(F.count("*").alias("texts")).filter("texts > 1")
+    order = F.array_sort(F.collect_list(F.struct("texts", "token")))
+    texts = tokens.join(counts, "token").groupBy("rep", "n").agg(order.alias("shared"))
+    missed = F.col("n") - F.ceil(F.col("n") * F.lit(similarity) - F.lit(_SLACK)).cast("int")
+    own = F.col("n") - F.size("shared")
+    able = texts.withColumns({"own": own, "length": missed + 1 - own}).filter("length > 0")
+    found = able.select("rep", "n", "own", F.posexplode(F.slice("shared", F.lit(1), F.col("length"))).alias("k", "e"))
+    return found.select("rep", "n", F.col("e.token").alias("token"), (F.col("own") + F.col("k")).alias("at"))
+
+
+def _with_component(entries: DataFrame, known: DataFrame) -> DataFrame:
+    """The entries with their text's component, without shingles all of whose texts are in one component."""
+    placed = entries.join(known.withColumnRenamed("node", "rep"), "rep", "left")
+    placed = placed.withColumn("component", F.coalesce("component", "rep"))
+    mixed = placed.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y")
+    return stage(placed.join(mixed.select("token"), "token", "left_semi"), "near-placed")
+
+
+def _reach(similarity: float) -> Column:
+    """Whether x and y, sharing a shingle first at these places, can still share as many as near copies do."""
+    least = F.ceil((F.col("x.n") + F.col("y.n")) * F.lit(similarity / (1 + similarity)) - F.lit(_SLACK))
+    return (
+        (F.col("x.component") != F.col("y.component"))
+        & (F.col("x.n") - F.col("x.at") >= least)
+        & (F.col("y.n") - F.col("y.at") >= least)
+    )
+
+
+def _named(met: DataFrame) -> DataFrame:
+    return met.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b"))
+
+
+def _head_pairs(placed: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): each text with one text for each of its entries, drawn anew for every shingle."""
+    drawn = F.min_by(F.struct("rep", "n", "at", "component"), F.xxhash64("rep", "token")).alias("head")
+    heads = placed.groupBy("token").agg(drawn).select("token", "head.*")
+    return _named(heads.alias("x").join(placed.alias("y"), (F.col("x.token") == F.col("y.token")) & _reach(similarity)))
+
+
+def _all_pairs(placed: DataFrame, similarity: float) -> DataFrame:
+    """Distinct (a, b) in different components that can be near copies.
+
+    The smaller text of a pair has the shingle among its first
+    ``n - least(n, n) + 1``, so one side is always such an entry. The largest
+    component of a shingle is not held against itself.
+    """
+    least = F.ceil(F.col("n") * F.lit(2 * similarity / (1 + similarity)) - F.lit(_SLACK))
+    early = placed.withColumn("early", F.col("n") - F.col("at") >= least)
+    sizes = early.groupBy("token", "component").agg(F.count("*").alias("texts"), F.max("early").alias("early"))
+    main = sizes.groupBy("token").agg(F.max_by("component", F.struct("texts", "component")).alias("main"), F.max("early").alias("some"))
+    dealt = early.join(main.filter("some").select("token", "main"), "token")
+    dealt = stage(dealt.withColumn("main", F.col("main") == F.col("component")), "near-dealt")
+    on = (F.col("x.token") == F.col("y.token")) & _reach(similarity)
+    rest, large = dealt.filter("early and not main").alias("x"), dealt.filter("early and main").alias("x")
+    one = _named(rest.join(dealt.alias("y"), on))
+    other = _named(large.join(dealt.filter("not main").alias("y"), on))
+    return one.union(other).distinct()
+
+
+def _across(pairs: DataFrame, known: DataFrame) -> DataFrame:
+    """The pairs whose texts are in different components."""
     left, right = (known.select(F.col("node").alias(c), F.col("component").alias(f"{c}_in")) for c in ("a", "b"))
-    rest = (
+    return (
         pairs.join(left, "a", "left")
         .join(right, "b", "left")
         .filter(F.coalesce("a_in", "a") != F.coalesce("b_in", "b"))
         .select("a", "b")
     )
-    links = first.union(_verified(rest, sets, similarity).select("a", "b"))
-    roots = connected_components(links, "a", "b", "near-2")
-    named = bodies.select("body", "rep").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
-    labels = named.select("body", F.coalesce("component", "rep").alias("component"))
-    return stage(held.select("doc", "body").join(labels, "body"), "near-groups")
 
 
-def _shingle_sets(narrow: DataFrame, bodies: DataFrame, pairs: DataFrame, size: int) -> DataFrame:
-    """(rep, hashes) of the texts that the pairs name: their distinct shingle hashes in order."""
+def _shingle_sets(narrow: DataFrame, bodies: DataFrame, named: DataFrame, size: int) -> DataFrame:
+    """(rep, hashes) of the named texts, one row each: their distinct shingle hashes in order."""
     schema = pa.schema([("rep", pa.int64()), ("hashes", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -269,11 +367,9 @@ def _shingle_sets(narrow: DataFrame, bodies: DataFrame, pairs: DataFrame, size:
 
         yield from flush_every(1_000, schema)(rows())
 
-    named = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
     wanted = bodies.join(named, "rep", "left_semi").select("rep", "place", "body")
-    return map_batches(
-        narrow.join(wanted, "place").select("rep", "body", "value"), run, "rep long, hashes array<long>"
-    )
+    read = map_batches(narrow.join(wanted, "place").select("rep", "body", "value"), run, "rep long, hashes array<long>")
+    return read.dropDuplicates(["rep"])  # rows may repeat
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -291,5 +387,4 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
     ship_package(pairs.sparkSession)
     x, y = sets.alias("x"), sets.alias("y")
     met = pairs.join(x, F.col("a") == F.col("x.rep")).join(y, F.col("b") == F.col("y.rep"))
-    # Rows that repeat a text repeat its set.
-    return met.filter(jaccard(F.col("x.hashes"), F.col("y.hashes")) >= similarity).select("a", "b").distinct()
+    return met.filter(jaccard(F.col("x.hashes"), F.col("y.hashes")) >= similarity).select("a", "b")
