@@ -65,3 +65,19 @@ def test_blocks(spark, share):
     want = expected(texts)
     assert sum(w != i for i, w in enumerate(want)) > len(SIZES)
     assert same_grouping(components(spark, texts), want)
+
+
+@pytest.mark.parametrize("changes", [4, 5])
+def test_large_family(spark, changes):
+    """Members of one template, too far apart to link, each with one near copy."""
+    draw = random.Random(changes)
+    template, texts = words(draw, 200), []
+    for _ in range(400):
+        member = list(template)
+        for at in draw.sample(range(200), changes):
+            member[at] = words(draw, 1)[0]
+        copy = list(member)
+        for at in draw.sample(range(200), 3):
+            copy[at] = words(draw, 1)[0]
+        texts += [member, copy]
+    assert same_grouping(components(spark, texts), expected(texts))
