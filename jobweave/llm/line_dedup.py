@@ -43,10 +43,30 @@ def line_chunks(lines: list[bytes], window: int = WINDOW, divisor: int = DIVISOR
     return list(zip(cuts[:-1], cuts[1:]))
 
 
-def _bodies(text: str, window: int, divisor: int, min_lines: int) -> Iterator[tuple[Chunk, bytes | None]]:
+def joined_chunks(lines: list[bytes], chunks: list[Chunk], min_lines: int) -> list[Chunk]:
+    """The chunks with each that has fewer than ``min_lines`` lines with a word joined to the next, the last to the one before.
+
+    A chunk that is long enough by itself ends what went before, so the cuts
+    depend on the lines since the last such chunk only.
+    """
+    joined: list[Chunk] = []
+    begin = 0
+    for _, last in chunks:
+        worded = sum(1 for x in lines[begin:last] if x.strip())
+        if worded >= min_lines:
+            joined.append((begin, last))
+            begin = last
+    if begin < len(lines):
+        start = joined.pop()[0] if joined else begin
+        joined.append((start, len(lines)))
+    return joined
+
+
+def _bodies(text: str, window: int, divisor: int, min_lines: int, join: bool) -> Iterator[tuple[Chunk, bytes | None]]:
     """Each chunk with its bytes, or None where it has fewer than ``min_lines`` lines with a word."""
     lines = text.encode().split(b"\n")
-    for first, last in line_chunks(lines, window, divisor):
+    chunks = line_chunks(lines, window, divisor)
+    for first, last in joined_chunks(lines, chunks, min_lines) if join else chunks:
         worded = last - first >= min_lines and sum(1 for x in lines[first:last] if x.strip()) >= min_lines
         yield (first, last), b"\n".join(lines[first:last]) if worded else None
 
@@ -62,12 +82,14 @@ def line_dedup(
     window: int = WINDOW,
     divisor: int = DIVISOR,
     min_lines: int = MIN_LINES,
+    join: bool = False,
 ) -> DataFrame:
     """All rows and columns of ``docs`` with repeated chunks cut out of the text.
 
     Adds ``n_lines`` and ``n_lines_removed`` (long), replacing columns of these
     names. The first copy of a chunk, in the smallest id and there the highest
-    up, stays. Chunks with fewer than ``min_lines`` lines that hold a word stay.
+    up, stays. Chunks with fewer than ``min_lines`` lines that hold a word stay,
+    or with ``join`` become part of a neighbour, so whole copies go entirely.
 
     Null text: stays null, counts 0. Empty text: one line, none removed. A null
     id sorts behind all ids; rows that share an id never remove each other's
@@ -78,7 +100,7 @@ def line_dedup(
     """
 
     def cut(value: str) -> Iterator[tuple[Chunk, bytes | None]]:
-        return _bodies(value, window, divisor, min_lines)
+        return _bodies(value, window, divisor, min_lines, join)
 
     key_schema = pa.schema([("key", pa.binary()), ("doc", pa.int64())])
     body_schema = pa.schema([("key", pa.binary()), ("body", pa.binary()), ("doc", pa.int64())])
