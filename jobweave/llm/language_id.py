@@ -88,6 +88,11 @@ class LanguageModel:
     members: dict[str, list[str]]
     pair_weights: dict[tuple[str, str], np.ndarray]
 
+    def floors(self) -> dict[str, float]:
+        """The least score a prediction of each language can have: all families alike, and all languages of its own."""
+        alike = 1 / max(len(self.families), 1)
+        return {g: alike * (0.5 if len(m) > 1 else 1.0) for m in self.members.values() for g in m}
+
     def predict(self, text: str | None) -> tuple[str, float]:
         if not self.families or not has_letter(text):
             return UNDETERMINED, 0.0
