@@ -147,7 +147,11 @@ def train(
 
     ship_package(docs.sparkSession)
     labelled = docs.select(F.col(doc_id).alias("doc"), F.col(lang).alias("lang"), F.col(text).alias("value"))
-    found = labelled.join(chosen, ["doc", "lang"], "left_semi").select("doc", "lang", vectors("value").alias("x")).toArrow()
+    # Ids may repeat: one row of each, before its vector is made; one with a letter if there is any.
+    first = F.min(F.struct(~F.regexp_like("value", F.lit("\\p{L}")), F.xxhash64("value"), F.col("value").alias("value")))
+    rows = labelled.filter("value is not null").join(chosen, ["doc", "lang"], "left_semi")
+    single = rows.groupBy("doc", "lang").agg(first.alias("first"))
+    found = single.select("doc", "lang", vectors("first.value").alias("x")).toArrow()
     rows = sorted((d, g, x) for d, g, x in zip(*(found[c].to_pylist() for c in ("doc", "lang", "x"))) if x is not None)
     langs = np.array([g for _, g, _ in rows])
     x = np.array([np.frombuffer(v, dtype=np.float32) for _, _, v in rows]).reshape(-1, DIMENSIONS)

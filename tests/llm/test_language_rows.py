@@ -22,3 +22,14 @@ def test_unlearned_languages_go(spark, sf_dir):
 def test_floors():
     model = language_id.LanguageModel(["a", "b", "c"], None, {"a": ["x"], "b": ["y", "z"], "c": ["w"]}, {})
     assert model.floors() == {"x": 1 / 3, "y": 1 / 6, "z": 1 / 6, "w": 1 / 3}
+
+
+def test_one_vector_for_each_id(spark, monkeypatch):
+    rows = [(1 + i % 20, f"some {i} english words number {i}", "en") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    frame, seen = type(docs), []
+    collect = frame.toArrow
+    monkeypatch.setattr(frame, "toArrow", lambda df: seen.append(collect(df)) or seen[-1])
+    language_id.train(docs)
+    taken = docs.filter(~language_id.held_out("doc_id")).select("doc_id").distinct().count()
+    assert [t.num_rows for t in seen] == [taken]
