@@ -16,7 +16,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from urllib.parse import quote
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyarrow import fs
@@ -54,6 +54,8 @@ _HEADERS = {
 }
 _WIRE = {v.lower(): k for k, v in _HEADERS.items()}
 _WRAPPED = {"record_id", "refers_to"}
+# An extension header names each column whose value is percent-encoded; in other values % stands for itself.
+_ENCODED = "X-Percent-Encoded"
 # A date is required in every record; archives here are made of tables, so it is fixed and files are reproducible.
 _DATE = "2000-01-01T00:00:00Z"
 _MEMBER_HEAD = 24
@@ -65,8 +67,10 @@ _SHORT = pa.schema(
 
 
 def header_value(value: str) -> str:
-    """A value that can't end its header line: control signs and % are percent-encoded."""
-    return value if value.isprintable() and "%" not in value else quote(value, safe="".join(map(chr, range(33, 127))).replace("%", ""))
+    """A value that can't end its header line or lose its ends: others are percent-encoded, ``parse_head`` decodes them."""
+    if value.isprintable() and value == value.strip():
+        return value
+    return quote(value, safe="".join(map(chr, range(33, 127))).replace("%", ""))
 
 
 def record_bytes(row) -> bytes:
@@ -76,7 +80,10 @@ def record_bytes(row) -> bytes:
     lines = ["WARC/1.1", f"WARC-Date: {_DATE}", "Content-Type: application/http; msgtype=response"]
     for column, name in _HEADERS.items():
         if (value := row[column]) is not None:
-            lines.append(f"{name}: <{value}>" if column in _WRAPPED else f"{name}: {header_value(value)}")
+            written = f"<{value}>" if column in _WRAPPED else header_value(value)
+            lines.append(f"{name}: {written}")
+            if column not in _WRAPPED and written != value:
+                lines.append(f"{_ENCODED}: {column}")
     if row["record_type"] == "revisit":
         lines.append("WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")
     lines.append(f"Content-Length: {len(http) + len(payload)}")
@@ -192,16 +199,18 @@ def parse_head(lines: list[bytes]) -> tuple[dict, int]:
     """Columns and block length from the lines of a record's WARC headers."""
     if not lines or not lines[0].startswith(b"WARC/"):
         raise ValueError(f"not the start of a WARC record: {lines[:1]!r}")
-    row, length = {}, 0
+    row, length, encoded = {}, 0, []
     for line in lines[1:]:
-        name, _, value = line.decode().strip().partition(": ")
+        name, _, value = (x.strip() for x in line.decode().partition(":"))
         if name.lower() == "content-length":
             length = int(value)
         elif name.lower() == "content-type":
             row["http"] = value.startswith("application/http")
+        elif name.lower() == _ENCODED.lower():
+            encoded.append(value)
         elif column := _WIRE.get(name.lower()):
             row[column] = value[1:-1] if column in _WRAPPED else value
-    return row, length
+    return row | {c: unquote(row[c]) for c in encoded if c in row}, length
 
 
 def http_length(lines: list[bytes]) -> int | None:
