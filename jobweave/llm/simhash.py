@@ -28,6 +28,9 @@ SEED = 42
 # The near-duplicate search: parts of 40 bits each, searched within 2 bits.
 PARTS, PART_BITS = 8, 40
 
+# Shingles are counted in so many passes over their values, each of which frees its shuffle.
+PASSES = 8
+
 
 def shingle_hashes(words: list[bytes], size: int) -> np.ndarray:
     """XXH64 of every run of ``size`` words joined by a space; fewer words: of the whole sequence; none: empty."""
@@ -283,9 +286,14 @@ def _rare_entries(sets: DataFrame, similarity: float) -> DataFrame:
     entry; a text with more of them than it may miss has no near copy.
     """
     tokens = sets.select("rep", F.size("hashes").alias("n"), F.explode("hashes").alias("token"))
-    counts = tokens.groupBy("token").agg(F.count("*").alias("texts")).filter("texts > 1")
+    shared = None
+    for k in range(PASSES):
+        some = tokens.filter(F.pmod("token", F.lit(PASSES)) == k)
+        counts = some.groupBy("token").agg(F.count("*").alias("texts")).filter("texts > 1")
+        part = stage(some.join(counts, "token"), f"near-shared-{k}")
+        shared = part if shared is None else shared.union(part)
     order = F.array_sort(F.collect_list(F.struct("texts", "token")))
-    texts = tokens.join(counts, "token").groupBy("rep", "n").agg(order.alias("shared"))
+    texts = shared.groupBy("rep", "n").agg(order.alias("shared"))
     missed = F.col("n") - F.ceil(F.col("n") * F.lit(similarity) - F.lit(_SLACK)).cast("int")
     own = F.col("n") - F.size("shared")
     able = texts.withColumns({"own": own, "length": missed + 1 - own}).filter("length > 0")
