@@ -18,6 +18,7 @@ from jobweave.llm.registry import ORACLE, QUERIES, query, table
 from jobweave.llm.sharding import place
 from jobweave.llm.simhash import simhash_components
 from jobweave.llm.substring_dedup import substring_dedup
+from jobweave.llm.url_filter import host_of, judge_urls
 from jobweave.llm.warc import archived_pages, write_pages
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -109,4 +110,16 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
+SPAM_SITES = ("cheap-pills", "spam-farm")
+
+
+@query("op11_url_filter", sql.URL_FILTER)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The list holds the URLs of all pages of the spam sites, which are known by a label of their host."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    listed = pages.filter(F.arrays_overlap(F.split(host_of(F.col("url")), "\\."), F.array(*map(F.lit, SPAM_SITES))))
+    return judge_urls(pages, listed, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
 query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)

@@ -159,3 +159,34 @@ SELECT page_id, strlen(html)::BIGINT AS payload_bytes,
        CASE WHEN page_id IS DISTINCT FROM low THEN low END AS refers_to
 FROM b
 """
+
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+URL_FILTER = f"""
+WITH rules(verdict, rule, site, prefix) AS (
+  VALUES ('block', 'net/', 'net', '/'), ('allow', 'example.net/en/', 'example.net', '/en/'),
+         ('block', 'example.com/de/', 'example.com', '/de/'), ('allow', 'org/fr/', 'org', '/fr/')
+), r AS (
+  SELECT row_number() OVER () AS rid, page_id,
+         CASE WHEN position('://' IN url) > 0 THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest FROM pages
+), p AS (
+  SELECT rid, page_id, {_LOWER.format("regexp_extract(rest, '^[^/?#]*')")} AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path,
+         list_sort(list_filter(string_split(regexp_extract(rest, '^[^?#]*\\?([^#]*)', 1), '&'),
+           lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_[^=]*|ref)(=|\\z)'))) AS params
+  FROM r
+), c AS (
+  SELECT *, CASE WHEN host <> '' THEN
+      CASE WHEN starts_with(host, 'www.') THEN substr(host, 5) ELSE host END || rtrim(path, '/')
+      || CASE WHEN len(params) > 0 THEN '?' || array_to_string(params, '&') ELSE '' END END AS canonical
+  FROM p
+), listed AS (
+  SELECT DISTINCT canonical FROM c WHERE list_has_any(string_split(host, '.'), ['cheap-pills', 'spam-farm'])
+), best AS (
+  SELECT rid, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS verdict
+  FROM c JOIN rules ON (host = site OR ends_with(host, '.' || site)) AND starts_with(path, prefix) GROUP BY rid
+)
+SELECT page_id, host, path, rule,
+       coalesce(verdict, CASE WHEN canonical IN (SELECT canonical FROM listed) THEN 'block' ELSE 'allow' END) AS verdict
+FROM c LEFT JOIN best USING (rid)
+"""
