@@ -19,6 +19,7 @@ from jobweave.llm.sharding import place
 from jobweave.llm.simhash import simhash_components
 from jobweave.llm.substring_dedup import substring_dedup
 from jobweave.llm.url_filter import host_of, judge_urls
+from jobweave.llm.vector_codes import compress
 from jobweave.llm.warc import archived_pages, write_pages
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -122,4 +123,10 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(pages, listed, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+@query("op12_vector_codes")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, quantizer = compress(table(spark, sf_dir, "embeddings"))
+    return coded.select("vec_id", "code", "error", "label_error", F.lit(quantizer.digest()).alias("codebooks_sha256"))
+
+
 query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
