@@ -13,6 +13,7 @@ from jobweave.llm.common import ascii_words
 from jobweave.llm.decontaminate import contained_items
 from jobweave.llm.language_id import held_out, identify, train
 from jobweave.llm.line_dedup import line_dedup
+from jobweave.llm.prefix_trie import borrow_turns, numbered_turns, prefix_trie
 from jobweave.llm.quality_rules import apply_cascade
 from jobweave.llm.registry import ORACLE, QUERIES, query, table
 from jobweave.llm.sharding import place
@@ -129,4 +130,11 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("vec_id", "code", "error", "label_error", F.lit(quantizer.digest()).alias("codebooks_sha256"))
 
 
+@query("op13_prefix_trie", sql.PREFIX_TRIE)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = borrow_turns(numbered_turns(table(spark, sf_dir, "conversations")))
+    # Conversations that borrow from each other are near each other.
+    return prefix_trie(turns, near=F.col("conv_id") - F.col("conv_id") % 5)
+
+
 query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)

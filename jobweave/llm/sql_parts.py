@@ -190,3 +190,49 @@ SELECT page_id, host, path, rule,
        coalesce(verdict, CASE WHEN canonical IN (SELECT canonical FROM listed) THEN 'block' ELSE 'allow' END) AS verdict
 FROM c LEFT JOIN best USING (rid)
 """
+
+# DuckDB has no CRC-32: a step for each byte of the decimal id and each of its bits.
+PREFIX_TRIE = """
+WITH RECURSIVE m AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+), t AS (
+  SELECT conv_id, k, size, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, k) AS i
+  FROM (SELECT conv_id, turn, sha256(length(role) || ':' || role || text) AS k, strlen(text)::BIGINT AS size FROM m)
+), crc AS (
+  SELECT DISTINCT conv_id, 0 AS step, 4294967295::BIGINT AS v FROM t
+  UNION ALL
+  SELECT conv_id, step + 1,
+         CASE WHEN step % 9 = 0 THEN xor(v, ascii(substr(conv_id::VARCHAR, step // 9 + 1, 1))::BIGINT)
+              WHEN v % 2 = 1 THEN xor(v // 2, 3988292384::BIGINT) ELSE v // 2 END
+  FROM crc WHERE step < 9 * length(conv_id::VARCHAR)
+), c AS (
+  SELECT conv_id, xor(v, 4294967295::BIGINT) % 9 AS h FROM crc WHERE step = 9 * length(conv_id::VARCHAR)
+), u AS (
+  SELECT c.conv_id, 0 AS own, i, k, size FROM c JOIN t ON t.conv_id = c.conv_id - c.conv_id % 5 AND i <= h
+  UNION ALL SELECT c.conv_id, 1, i, k, size FROM c JOIN t ON t.conv_id = c.conv_id AND i > h
+), r AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY own, i) AS depth, k, size FROM u
+), p AS (
+  SELECT conv_id, depth, size, string_agg(k, '') OVER (PARTITION BY conv_id ORDER BY depth) AS path FROM r
+  UNION ALL SELECT conv_id, 0, 0, '' FROM c
+), n AS (
+  SELECT path, left(path, greatest(length(path) - 64, 0)) AS up, min(depth) AS depth, min(conv_id) AS conv_id,
+         count(*) AS n_convs, (count(*) - 1) * min(size) AS own
+  FROM p GROUP BY path
+), last AS (
+  SELECT conv_id, max(depth) AS depth FROM p GROUP BY conv_id
+), e AS (
+  SELECT path, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ends FROM p JOIN last USING (conv_id, depth) GROUP BY path
+), kids AS (
+  SELECT up AS path, count(*) AS n FROM n WHERE depth > 0 GROUP BY up
+), below AS (
+  SELECT DISTINCT a.path, b.path AS under FROM p a JOIN p b ON a.conv_id = b.conv_id AND a.depth <= b.depth
+), s AS (
+  SELECT below.path, sum(n.own) AS saved, count(*) FILTER (kids.n IS NULL) AS leaves
+  FROM below JOIN n ON n.path = under LEFT JOIN kids ON kids.path = under GROUP BY below.path
+)
+SELECT n.conv_id, n.depth, CASE WHEN n.depth > 0 THEN o.conv_id END AS parent_conv_id, n.n_convs,
+       coalesce(kids.n, 0)::BIGINT AS n_children, s.leaves::BIGINT AS n_leaves, s.saved::BIGINT AS saved_tokens,
+       sha256(coalesce(e.ends, '')) AS ends_sha256
+FROM n JOIN s USING (path) JOIN n o ON o.path = n.up LEFT JOIN kids ON kids.path = n.path LEFT JOIN e ON e.path = n.path
+"""
