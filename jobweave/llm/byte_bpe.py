@@ -4,8 +4,10 @@ The distinct words of a corpus are merged once each, by a fold of Spark's
 higher-order functions over their bytes with the ranked merges as a literal.
 Documents then only look their words up. Decoding joins the pieces' bytes.
 
-Looking up: the commonest words, at most ``common_words`` of them, go to every
-task; the other words of a document come by a join. Both are the fold's results.
+Looking up: a bounded set of common words goes to every task; the other words
+of a document come by a join, by their order in the text. Both are the fold's
+results. Which words are in that set is a choice of speed alone, so it is made on
+a bounded sample of documents, and no pass over the corpus is spent on it.
 """
 
 from __future__ import annotations
@@ -21,17 +23,19 @@ from functools import cached_property
 import numpy as np
 import pyarrow as pa
 import regex
-import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from jobweave.llm.common import flush_every, id_key, map_batches, stage
+from jobweave.llm.common import flush_every, id_key, map_batches, stage, unstage
 from jobweave.session import ship_package
 
 COMMON_WORDS = 1 << 18
+# Documents whose words say which are common.
+SAMPLE_ROWS = 20_000
 # Longer words are merged by a heap in a task: the fold's work grows with the square of the length.
 FOLD_BYTES = 64
-_BUCKETS = 1 << 16
+_RANKS, _FREE = 1 << 20, 1 << 41
 _NONE = (1 << 31) - 1
 _HELD_WORDS = 300_000
 
@@ -94,16 +98,31 @@ def merge_long(word: bytes, byte_ids: list[int], merges: dict[tuple[int, int], i
     return [x for x in ids if x is not None]
 
 
-def rank_literal(vocabulary: Vocabulary) -> Column:
-    """The merges as a constant: an array of small maps from a pair of ids to the rank of their merge."""
-    buckets: list[dict[str, int]] = [{} for _ in range(_BUCKETS)]
+def rank_table(vocabulary: Vocabulary) -> tuple[list[int], list[int]]:
+    """(offsets, slots): the merges of all left pieces laid over each other in one array.
+
+    The merge of a and b is at ``offsets[a] + b``; the slot there holds a, above
+    the rank, so a slot that belongs to another left piece is told apart.
+    """
+    if len(vocabulary.pieces) > _RANKS:
+        raise ValueError(f"ranks must be below {_RANKS}")
+    rights: dict[int, dict[int, int]] = {}
     for (a, b), rank in vocabulary.merges.items():
-        buckets[_bucket(a, b)][str(a << 32 | b)] = rank
-    return F.from_json(F.lit(json.dumps(buckets, separators=(",", ":"))), "array<map<string, int>>")
+        rights.setdefault(a, {})[b] = rank
+    n = len(vocabulary.pieces)
+    offsets, slots = [0] * n, [_FREE] * (4 * n + 1)
+    # The largest rows first; each is tried from a place of its own onwards, where a fifth of the slots is taken at most.
+    for a, ranks in sorted(rights.items(), key=lambda x: -len(x[1])):
+        start = a * 7919 % (3 * n)
+        offset = next(o % (3 * n) for o in range(start, start + 3 * n) if all(slots[o % (3 * n) + b] == _FREE for b in ranks))
+        offsets[a] = offset
+        for b, rank in ranks.items():
+            slots[offset + b] = a * _RANKS + rank
+    return offsets, slots
 
 
-def _bucket(a, b):
-    return (a * 40503 + b * 7919) % _BUCKETS
+def _literal(numbers: list[int], kind: str) -> Column:
+    return F.split(F.lit(",".join(map(str, numbers))), ",").cast(f"array<{kind}>")
 
 
 def _let(value: Column, then) -> Column:
@@ -113,35 +132,32 @@ def _let(value: Column, then) -> Column:
 
 def fold_merges(word: Column, vocabulary: Vocabulary) -> Column:
     """Ids (array of int) of a binary word: merge the lowest-ranked pair, leftmost first, until none is left."""
-    ranks = rank_literal(vocabulary)
-    byte_ids = F.split(F.lit(",".join(map(str, vocabulary.byte_ids))), ",").cast("array<int>")
-    # One byte at a time as a Latin-1 sign, whose code is the byte.
-    start = F.transform(
-        F.sequence(F.lit(1), F.octet_length(word)),
-        lambda i: F.get(byte_ids, F.ascii(F.decode(F.substring(word, i, F.lit(1)), "ISO-8859-1"))),
-    )
+    offsets, slots = rank_table(vocabulary)
+    offsets, slots = _literal(offsets, "int"), _literal(slots, "bigint")
+    byte_ids = _literal(vocabulary.byte_ids, "int")
+    # Bytes as Latin-1 signs, whose codes are the bytes.
+    start = F.transform(F.split(F.decode(word, "ISO-8859-1"), ""), lambda sign: F.get(byte_ids, F.ascii(sign)))
 
-    def best(ids: Column) -> Column:
-        """Rank and place of the pair to merge in one number, rank first."""
-        rank = lambda a, b: F.try_element_at(
-            F.get(ranks, _bucket(a.cast("long"), b.cast("long")).cast("int")),
-            (F.shiftleft(a.cast("long"), 32) + b.cast("long")).cast("string"),
-        )
-        pair = lambda a, i: F.shiftleft(
-            F.coalesce(rank(a, F.get(ids, i + 1)), F.lit(_NONE)).cast("long"), 32
-        ) + i.cast("long")
-        return F.array_min(F.transform(ids, pair))
+    def rank(a: Column, b: Column) -> Column:
+        """The rank of the merge of two ids; without one a number above all ranks, or null."""
+        slot = F.get(slots, F.get(offsets, a) + b)
+        return slot.bitwiseXOR(F.shiftleft(a.cast("bigint"), _RANKS.bit_length() - 1))
 
     def step(state: Column, _: Column) -> Column:
-        def merged(low: Column) -> Column:
-            rank, at = F.shiftright(low, 32).cast("int"), low.bitwiseAND(F.lit(2**31 - 1)).cast("int")
-            ids = state["ids"]
-            joined = F.concat(F.slice(ids, F.lit(1), at), F.array(rank), F.slice(ids, at + 3, F.size(ids)))
-            return F.when(
-                rank < _NONE, F.struct(joined.alias("ids"), (F.size(ids) > 2).alias("open"))
-            ).otherwise(F.struct(ids.alias("ids"), F.lit(False).alias("open")))
+        ids = state["ids"]
 
-        return F.when(state["open"], _let(best(state["ids"]), merged)).otherwise(state)
+        def merged(ranks: Column) -> Column:
+            def at_lowest(low: Column) -> Column:
+                at = F.array_position(ranks, low).cast("int")
+                joined = F.concat(F.slice(ids, F.lit(1), at - 1), F.array(low.cast("int")), F.slice(ids, at + 2, F.size(ids)))
+                return F.when(low < _RANKS, F.struct(joined.alias("ids"), (F.size(ids) > 2).alias("open"))).otherwise(
+                    F.struct(ids.alias("ids"), F.lit(False).alias("open"))
+                )
+
+            return _let(F.array_min(ranks), at_lowest)
+
+        ranks = F.zip_with(ids, F.slice(ids, F.lit(2), F.size(ids)), rank)
+        return F.when(state["open"], _let(ranks, merged)).otherwise(state)
 
     first = F.struct(start.alias("ids"), (F.octet_length(word) > 1).alias("open"))
     steps = F.sequence(F.lit(1), F.greatest(F.octet_length(word) - 1, F.lit(1)))
@@ -209,37 +225,38 @@ def word_counts(docs: DataFrame, text: str, pattern: str) -> DataFrame:
 
 
 def encoded_words(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """(word, n, ids) for the distinct words (word, n): folded, or by the heap where they are long; ids packed."""
+    """(word, ids) for distinct words: folded, or by the heap where they are long; ids packed (see ``packed_words``)."""
     byte_ids, merges = vocabulary.byte_ids, vocabulary.merges
-    schema = pa.schema([("word", pa.binary()), ("n", pa.int64()), ("ids", pa.list_(pa.int32()))])
+    schema = pa.schema([("word", pa.binary()), ("ids", pa.list_(pa.int32()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = [merge_long(w, byte_ids, merges) for w in batch["word"].to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch["word"], batch["n"], pa.array(ids, pa.list_(pa.int32()))], schema=schema)
+            yield pa.RecordBatch.from_arrays([batch["word"], pa.array(ids, pa.list_(pa.int32()))], schema=schema)
 
     short = words.filter(F.octet_length("word") <= FOLD_BYTES)
-    folded = short.select("word", "n", fold_merges(F.col("word"), vocabulary).alias("ids"))
-    long = words.filter(F.octet_length("word") > FOLD_BYTES).select("word", "n")
-    ids = folded.union(map_batches(long, run, "word binary, n long, ids array<int>"))
-    out_schema = pa.schema([("word", pa.binary()), ("n", pa.int64()), ("ids", pa.binary())])
+    folded = short.select("word", fold_merges(F.col("word"), vocabulary).alias("ids"))
+    long = words.filter(F.octet_length("word") > FOLD_BYTES).select("word")
+    ids = folded.union(map_batches(long, run, "word binary, ids array<int>"))
+    out_schema = pa.schema([("word", pa.binary()), ("ids", pa.binary())])
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch["word"], batch["n"], packed_lists(batch["ids"])], schema=out_schema)
+            yield pa.RecordBatch.from_arrays([batch["word"], packed_words(batch["ids"])], schema=out_schema)
 
-    return map_batches(ids, pack, "word binary, n long, ids binary")
+    return map_batches(ids, pack, "word binary, ids binary")
 
 
-def common_part(encoded: DataFrame, limit: int) -> pa.Table:
-    """(word, ids) of at most ``limit`` of the commonest short words.
+def common_part(docs: DataFrame, text: str, pattern: str, limit: int, sample_rows: int) -> DataFrame:
+    """(word): at most ``limit`` of the commonest short words of about ``sample_rows`` documents.
 
     Counts are sorted into classes, of which there are a few hundred at most;
     whole classes are taken from the top while they fit. So this is bounded by
     ``limit`` words of ``FOLD_BYTES`` bytes whatever the corpus.
     """
-    rank = F.floor(F.log2("n") * 8).cast("int")
-    short = encoded.filter(F.octet_length("word") <= FOLD_BYTES).withColumn("class", rank)
+    sample = docs.sample(min(1.0, sample_rows / max(1, docs.count())), seed=1)
+    counts = word_counts(sample, text, pattern).filter(F.octet_length("word") <= FOLD_BYTES)
+    short = stage(counts.withColumn("class", F.floor(F.log2("n") * 8).cast("int")), "bpe-sample")
     sizes = sorted(((r["class"], r["count"]) for r in short.groupBy("class").count().collect()), reverse=True)
     total, lowest = 0, _NONE
     for cls, count in sizes:
@@ -247,25 +264,40 @@ def common_part(encoded: DataFrame, limit: int) -> pa.Table:
         if total > limit:
             break
         lowest = cls
-    return short.filter(F.col("class") >= lowest).select("word", "ids").toArrow()
+    return short.filter(F.col("class") >= lowest).select("word")
 
 
 class CommonWords:
-    """What every task gets of the commonest words: two Arrow columns, made a dictionary in the task's process."""
+    """What every task gets of the common words: Arrow columns, made a set or a dictionary in the task's process."""
 
     def __init__(self, table: pa.Table):
-        self.words, self.ids = (table[c].combine_chunks() if table.num_rows else pa.array([], pa.binary()) for c in ("word", "ids"))
+        self.columns = {c: table[c].combine_chunks() if table.num_rows else pa.array([], pa.binary()) for c in table.column_names}
+
+    @cached_property
+    def words(self) -> set[str]:
+        return {w.decode() for w in self.columns["word"].to_pylist()}
 
     @cached_property
     def ids_of(self) -> dict[str, bytes]:
-        return {w.decode(): i for w, i in zip(self.words.to_pylist(), self.ids.to_pylist())}
+        return {w.decode(): i for w, i in zip(self.columns["word"].to_pylist(), self.columns["ids"].to_pylist())}
+
+
+# Marks the last id of a word.
+_LAST = np.uint32(1 << 31)
 
 
-def packed_lists(lists: pa.Array) -> pa.Array:
-    """Lists of ids as little-endian unsigned 32-bit integers in a row: the form their values have in memory."""
-    flat = lists.values.to_numpy(zero_copy_only=False).astype("<u4").tobytes()
-    ends = lists.offsets.to_pylist()
-    return pa.array([flat[4 * a : 4 * b] for a, b in zip(ends, ends[1:])], pa.binary())
+def packed_lists(lists: pa.Array, marked: bool = False) -> pa.Array:
+    """Lists of ids as little-endian unsigned 32-bit integers in a row, the last of each marked if asked for."""
+    ends = lists.offsets.to_numpy()
+    flat = lists.values.to_numpy(zero_copy_only=False).astype("<u4")
+    if marked:
+        flat[ends[1:][np.diff(ends) > 0] - 1] |= _LAST
+    data, ends = flat.tobytes(), ends.tolist()
+    return pa.array([data[4 * a : 4 * b] for a, b in zip(ends, ends[1:])], pa.binary())
+
+
+def packed_words(lists: pa.Array) -> pa.Array:
+    return packed_lists(lists, marked=True)
 
 
 def packed(ids: Column) -> Column:
@@ -278,6 +310,17 @@ def packed(ids: Column) -> Column:
     return to_bytes(F.coalesce(ids, F.array().cast("array<int>")))
 
 
+def joined_pieces(pieces: Column) -> Column:
+    """The binary pieces of each array in one; pieces are not null."""
+
+    @F.arrow_udf("binary")
+    def joined(lists: pa.Array) -> pa.Array:
+        ends, pieces = lists.offsets.to_pylist(), lists.values.to_pylist()
+        return pa.array([b"".join(pieces[a:b]) for a, b in zip(ends, ends[1:])], pa.binary())
+
+    return joined(pieces)
+
+
 def encode(
     docs: DataFrame,
     vocabulary: Vocabulary,
@@ -286,69 +329,78 @@ def encode(
     text: str = "text",
     ids: str = "ids",
     common_words: int = COMMON_WORDS,
+    sample_rows: int = SAMPLE_ROWS,
 ) -> DataFrame:
     """All rows and columns of ``docs`` with ``ids`` (array of int), replacing a column of this name.
 
     Every match of ``pattern`` in the text is merged separately; no special
-    tokens. Null and empty texts have no ids. Ids of documents may be null or
-    repeat: with a hash of the text they only say where a word list belongs.
-    Whole texts are encoded, words of any length exactly.
+    tokens. Null and empty texts have no ids. Whole texts are encoded, words of
+    any length exactly. Ids of documents may be null or repeat: what a document
+    looks up is found by its id and a 128-bit digest of its text, so no two texts
+    share a list and rows without an id form no group.
     """
     spark = docs.sparkSession
     ship_package(spark)
-    # Stored, since short and long words are read apart.
-    counts = stage(word_counts(docs, text, pattern), "bpe-counts")
-    encoded = stage(encoded_words(counts, vocabulary), "bpe-words")
-    shared = spark.sparkContext.broadcast(CommonWords(common_part(encoded, common_words)))
-    rare_schema = pa.schema([("word", pa.binary()), ("doc", pa.int64()), ("slot", pa.int64())])
-
-    def rare_words(words: list[str], common: dict[str, bytes]) -> list[str]:
-        return [w for w in dict.fromkeys(words) if w not in common]
-
-    def first_slot(value: str) -> int:
-        """Slots of a text: its hash above the number of the word in it."""
-        return xxhash.xxh32_intdigest(value) << 31
+    named = common_part(docs, text, pattern, common_words, sample_rows)
+    common = spark.sparkContext.broadcast(CommonWords(named.toArrow()))
+    asked_schema = pa.schema(
+        [("doc", pa.int64()), ("slot", pa.int32()), ("word", pa.binary()), ("id", pa.int64()), ("body", pa.binary())]
+    )
 
     def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find, common = split(pattern), shared.value.ids_of
+        """The rare words of each document by a number of its own; slot -1 says which document that is."""
+        find, words, number = split(pattern), common.value.words, TaskContext.get().partitionId() << 40
 
         def rows() -> Iterator[tuple]:
+            nonlocal number
             for batch in batches:
-                for doc, value in zip(batch["doc"].to_pylist(), batch["value"].to_pylist()):
-                    if value:
-                        start = first_slot(value)
-                        for k, word in enumerate(rare_words(find(value), common)):
-                            yield word.encode(), doc, start + k
-
-        yield from flush_every(50_000, rare_schema)(rows())
-
-    narrow = docs.select(id_key(doc_id).alias("doc"), F.col(text).alias("value"))
-    asked = map_batches(narrow, rare, "word binary, doc long, slot long")
-    found = asked.join(encoded.select("word", "ids"), "word")
-    lists = stage(found.groupBy("doc").agg(F.collect_list(F.struct("slot", "ids")).alias("words")), "bpe-lists")
+                for key, body, value in zip(*(batch[c].to_pylist() for c in ("id", "body", "value"))):
+                    own = [w for w in dict.fromkeys(find(value)) if w not in words]
+                    if own:
+                        number += 1
+                        yield number, -1, None, key, body
+                        for slot, word in enumerate(own):
+                            yield number, slot, word.encode(), None, None
+
+        yield from flush_every(50_000, asked_schema)(rows())
+
+    body = F.unhex(F.md5(text))
+    narrow = docs.filter(F.length(text) > 0).select(id_key(doc_id).alias("id"), body.alias("body"), F.col(text).alias("value"))
+    asked = stage(map_batches(narrow, rare, "doc long, slot int, word binary, id long, body binary"), "bpe-asked")
+    distinct = asked.filter("slot >= 0").select("word").union(named).distinct()
+    encoded = stage(encoded_words(distinct, vocabulary), "bpe-words")
+    shared = spark.sparkContext.broadcast(CommonWords(encoded.join(named, "word", "left_semi").toArrow()))
+
+    # Of rows with equal ids and texts one list is enough.
+    owners = asked.filter("slot < 0").groupBy("id", "body").agg(F.min("doc").alias("doc"))
+    found = asked.filter("slot >= 0").select("doc", "slot", "word").join(encoded, "word")
+    lists = found.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("slot", "ids"))).alias("words"))
+    lists = lists.join(owners, "doc").select("id", "body", joined_pieces(F.col("words.ids")).alias("words"))
+    lists = stage(lists, "bpe-lists")
+    unstage(asked, encoded, named)
 
     @F.arrow_udf("array<int>")
     def looked_up(values: pa.Array, own: pa.Array) -> pa.Array:
-        find, common, out, ends = split(pattern), shared.value.ids_of, [], [0]
-        for value, slots in zip(values.to_pylist(), own):
+        find, known, out, ends = split(pattern), shared.value.ids_of, [], [0]
+        for value, packed_words in zip(values.to_pylist(), own.to_pylist()):
             words = find(value) if value else []
-            if slots.is_valid and words:
-                start = first_slot(value)
-                ids_at = dict(zip(slots.values.field("slot").to_pylist(), slots.values.field("ids").to_pylist()))
-                rest = {w: ids_at[start + k] for k, w in enumerate(rare_words(words, common))}
-                one = b"".join([common.get(w) or rest[w] for w in words])
+            if packed_words:
+                cuts = (4 * np.flatnonzero(np.frombuffer(packed_words, "<u4") & _LAST) + 4).tolist()
+                pieces = iter([packed_words[a:b] for a, b in zip([0, *cuts], cuts)])
+                rest = {w: next(pieces) for w in dict.fromkeys(words) if w not in known}
+                one = b"".join([known.get(w) or rest[w] for w in words])
             else:
-                one = b"".join([common[w] for w in words])
+                one = b"".join([known[w] for w in words])
             out.append(one)
             ends.append(ends[-1] + len(one) // 4)
-        values = pa.Array.from_buffers(pa.int32(), ends[-1], [None, pa.py_buffer(b"".join(out))])
-        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
+        flat = np.frombuffer(b"".join(out), "<u4") & ~_LAST
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat.astype(np.int32)))
 
     return (
-        docs.withColumn("_bpe_doc", id_key(doc_id))
-        .join(lists.select(F.col("doc").alias("_bpe_doc"), F.col("words").alias("_bpe_words")), "_bpe_doc", "left")
+        docs.withColumns({"_bpe_id": id_key(doc_id), "_bpe_body": body})
+        .join(lists.toDF("_bpe_id", "_bpe_body", "_bpe_words"), ["_bpe_id", "_bpe_body"], "left")
         .withColumn(ids, looked_up(F.col(text), F.col("_bpe_words")))
-        .drop("_bpe_doc", "_bpe_words")
+        .drop("_bpe_id", "_bpe_body", "_bpe_words")
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -32,6 +33,15 @@ def stage(df: DataFrame, label: str) -> DataFrame:
         conf.set(_CLEANUP, before) if before is not None else conf.unset(_CLEANUP)
 
 
+def unstage(*staged: DataFrame) -> None:
+    """Delete stage tables after their last reader, so that the shared folder holds only what is still needed."""
+    for df in staged:
+        sc = df.sparkSession.sparkContext
+        for folder in {os.path.dirname(file) for file in df.inputFiles()}:
+            path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def id_key(column: str) -> Column:
     """The id as a key that is never null."""
     return F.coalesce(F.col(column).cast("long"), F.lit(LAST_ID))
