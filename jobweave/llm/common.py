@@ -128,11 +128,13 @@ def connected_components(edges: DataFrame, a: str, b: str, label: str, max_round
         )
         # Follow the new label: the label of the label is never larger.
         jump = state.select(F.col("node").alias("next"), F.col("component").alias("further"))
-        state = lower.join(jump, "next", "left").select(
+        moved = lower.join(jump, "next", "left").select(
             "node", F.least("next", F.coalesce("further", "next")).alias("component"), "before"
         )
-        state = stage(state, f"{label}-{step}")
-        if not state.filter("component <> before").limit(1).count():
-            return state.select("node", "component")
-        state = state.select("node", "component")
+        moved = stage(moved, f"{label}-{step}")
+        unstage(state)
+        state = moved.select("node", "component")
+        if not moved.filter("component <> before").limit(1).count():
+            unstage(both)
+            return state
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")

@@ -70,7 +70,7 @@ def contained_items(
     counts the item's distinct shingles, ``n_shared`` those in the document. An
     item of fewer than ``size`` words is one shingle, which only a document of
     just these words has. Items or documents without words match nothing, nor
-    do null texts. Null ids are kept as null; rows that share an id are taken
+    do null texts. Ids are numbers, or strings that are never null. Null ids are kept as null; rows that share an id are taken
     as one document or item with the shingles of all. Equal item texts are
     searched once each.
 
@@ -83,7 +83,10 @@ def contained_items(
     sketch = stage(item_sketches(full, size, threshold).distinct(), "bench-sketches")
     anchors = sketch.select("hash").distinct()
 
-    worded = docs.select(id_key(doc_id).alias("doc"), ascii_words(F.lower(F.col(text))).alias("words"))
+    # Numbers may be null; keys of another type are taken as they are.
+    numbers = doc_id in {c for c, kind in docs.dtypes if kind != "string"}
+    doc = id_key(doc_id) if numbers else F.col(doc_id)
+    worded = docs.select(doc.alias("doc"), ascii_words(F.lower(F.col(text))).alias("words"))
     probes = worded.select("doc", F.explode(shingle_hashes(F.col("words"), size)).alias("hash"))
     # One row per (document, item) that share a sketch entry; few documents share any.
     hits = probes.join(anchors, "hash", "left_semi").distinct()
@@ -91,7 +94,7 @@ def contained_items(
 
     item_shingles = full.select("item", F.explode(shingle_texts(F.col("words"), size)).alias("shingle")).distinct()
     sizes = item_shingles.groupBy("item").agg(F.count("*").alias("n_shingles"))
-    suspects = docs.select(id_key(doc_id).alias("doc"), F.lower(F.col(text)).alias("value")).join(
+    suspects = docs.select(doc.alias("doc"), F.lower(F.col(text)).alias("value")).join(
         pairs.select("doc").distinct(), "doc", "left_semi"
     )
     doc_words = suspects.select("doc", ascii_words(F.col("value")).alias("words"))
@@ -110,7 +113,7 @@ def contained_items(
     )
     real = lambda c: F.when(F.col(c) != LAST_ID, F.col(c))
     return verified.select(
-        real("doc").alias(doc_id),
+        (real("doc") if numbers else F.col("doc")).alias(doc_id),
         real("item").alias(item_id),
         "n_shingles",
         "n_shared",
@@ -118,6 +121,6 @@ def contained_items(
     )
 
 
-def flagged_ids(pairs: DataFrame, doc_id: str = "doc_id") -> DataFrame:
-    """The distinct documents of the pairs, as keys."""
-    return pairs.select(id_key(doc_id).alias("_flagged")).distinct()
+def row_key(doc_id: str, text: str) -> Column:
+    """A key of a row by its id and text, never null: rows that share it are equal in both."""
+    return F.md5(F.concat_ws(":", F.coalesce(F.col(doc_id).cast("string"), F.lit("null")), F.coalesce(F.md5(text), F.lit("null"))))

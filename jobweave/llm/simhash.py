@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -20,16 +21,16 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from jobweave.llm.common import LAST_ID, connected_components, flush_every, id_key, map_batches, ones, stage, words_of
+from jobweave.llm.common import LAST_ID, connected_components, flush_every, id_key, map_batches, ones, stage, unstage, words_of
 from jobweave.session import ship_package
 
 SEED = 42
 
 # The near-duplicate search: parts of 40 bits each, searched within 2 bits.
-PARTS, PART_BITS = 8, 40
+PARTS, PART_BITS = 2, 40
 
-# Shingles are counted in so many passes over their values, each of which frees its shuffle.
-PASSES = 8
+# Shingles are counted in so many passes over their values, each of which frees its shuffle; so are low hashes.
+PASSES, LOW_PASSES = 8, 4
 
 
 def shingle_hashes(words: list[bytes], size: int) -> np.ndarray:
@@ -190,14 +191,15 @@ def near_groups(
 
     Three rounds find the links. The first takes candidates from ``parts``
     fingerprints of ``bits`` bits over words by ball hashing: cheap, and it joins
-    most of a large family, but it misses many texts that differ by a block. The
+    much of a large family, but it misses many texts that differ by a block. The
     others search by the rarest shingles of a text (``_rare_entries``), of which
     near copies always share one: first against one head of each shingle, then
     every pair that is still in different components.
 
-    Texts are the nodes, known by their digest, so ids may be null or repeat.
-    Equal word sequences are one node: large groups of exact copies cost
-    nothing. Null and empty texts are copies of each other.
+    Texts are the nodes, known by a 128-bit digest of their words and numbered
+    when they are stored, so ids may be null or repeat. Equal word sequences are one
+    node: large groups of exact copies cost nothing. Null and empty texts are
+    copies of each other. Stage tables go after their last reader.
     """
     read_schema = pa.schema(
         [("doc", pa.int64()), ("place", pa.int64()), ("body", pa.binary())]
@@ -219,53 +221,78 @@ def near_groups(
     place = F.coalesce(F.col(doc_id).cast("long"), F.xxhash64(text))
     narrow = docs.select(id_key(doc_id).alias("doc"), place.alias("place"), F.col(text).alias("value"))
     held = stage(map_batches(narrow, read, "doc long, place long, body binary, fps array<long>, low array<long>"), "near-fps")
-    bodies = held.groupBy("body").agg(F.min("place").alias("place"), F.first("fps").alias("fps"))
-    bodies = stage(bodies.withColumn("rep", F.xxhash64("body")), "near-bodies")
-
-    part = bodies.select("rep", F.explode("fps").alias("fp"))
-    # Who stands for equal parts, and who is whose neighbour on a value, is drawn anew for every part and value:
-    # within a large family each text so meets many others, though never all of them.
-    heads = part.groupBy("fp").agg(F.min_by("rep", F.xxhash64("rep", "fp")).alias("head"))
-    same = part.join(heads, "fp").select(F.col("head").alias("x"), F.col("rep").alias("y"))
-    order = Window.partitionBy("variant").orderBy(F.xxhash64("head", "variant"), "head")
-    near = variants(heads, bits, radius).select(F.lag("head").over(order).alias("x"), F.col("head").alias("y"))
-    met_pairs = same.union(near).filter("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-    prints = bodies.select("rep", "fps")
-    distance = F.aggregate(
-        F.arrays_zip(F.col("x.fps").alias("p"), F.col("y.fps").alias("q")),
-        F.lit(0),
-        lambda n, z: n + F.bit_count(z["p"].bitwiseXOR(z["q"])),
-    )
-    # Far apart over all parts together: met by chance.
-    pairs = (
-        met_pairs.distinct()
-        .join(prints.alias("x"), F.col("a") == F.col("x.rep"))
-        .join(prints.alias("y"), F.col("b") == F.col("y.rep"))
-        .filter(distance <= parts * bits // 4)
-        .select("a", "b")
-    )
-    pairs = stage(pairs, "near-pairs")
-
-    # Near copies share one of their lowest hashes. Of texts that share none nothing more is read.
-    low = held.select(F.xxhash64("body").alias("rep"), F.explode("low").alias("token"))
-    shared = low.groupBy("token").agg(F.min("rep").alias("x"), F.max("rep").alias("y")).filter("x < y").select("token")
-    suspects = low.join(shared, "token", "left_semi").select("rep")
+    rows = stage(held.select("doc", "body"), "near-rows")
+    bodies = held.groupBy("body").agg(F.min("place").alias("place"), F.first("fps").alias("fps"), F.first("low").alias("low"))
+    # Numbers are shorter than digests, and as the table is written they stay what they are.
+    bodies = stage(bodies.withColumn("rep", F.monotonically_increasing_id()), "near-bodies")
+    unstage(held)
+
+    pairs = _ball_pairs(bodies, parts, bits, radius)
+    suspects = _suspects(bodies)
     named = suspects.union(pairs.select("a")).union(pairs.select("b")).distinct()
     sets = stage(_shingle_sets(narrow, bodies, named, size), "near-sets")
-    entries = stage(_rare_entries(sets, similarity), "near-entries")
+    unstage(suspects)
+    entries = _rare_entries(sets, similarity)
 
     links = stage(_verified(pairs.groupBy("b").agg(F.min("a").alias("a")), sets, similarity), "near-links-1")
     known = connected_components(links, "a", "b", "near-1")
     placed = _with_component(entries, known)
     rest = _across(pairs, known).union(_head_pairs(placed, similarity)).distinct()
-    links = stage(links.union(_verified(rest, sets, similarity).select("a", "b")), "near-links-2")
-    known = connected_components(links, "a", "b", "near-2")
-    last = stage(_all_pairs(_with_component(entries, known), similarity), "near-pairs-3")
-    links = links.union(_verified(last, sets, similarity).select("a", "b"))
+    more = stage(links.union(_verified(rest, sets, similarity).select("a", "b")), "near-links-2")
+    unstage(placed, pairs, known, links)
+    known = connected_components(more, "a", "b", "near-2")
+    placed = _with_component(entries, known)
+    last = _all_pairs(placed, similarity)
+    links = stage(more.union(_verified(last, sets, similarity).select("a", "b")), "near-links-3")
+    unstage(placed, last, entries, known, sets, more)
     roots = connected_components(links, "a", "b", "near-3")
     named = bodies.select("body", "rep").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
     labels = named.select("body", F.coalesce("component", "rep").alias("component"))
-    return stage(held.select("doc", "body").join(labels, "body"), "near-groups")
+    groups = stage(rows.join(labels, "body"), "near-groups")
+    unstage(rows, bodies, roots, links)
+    return groups
+
+
+def _ball_pairs(bodies: DataFrame, parts: int, bits: int, radius: int) -> DataFrame:
+    """(a, b): texts that ball hashing brings together, part by part, so that only one part's variants exist at a time."""
+    prints = bodies.select("rep", "fps")
+    distance = F.aggregate(
+        F.arrays_zip(F.col("x.fps").alias("p"), F.col("y.fps").alias("q")),
+        F.lit(0),
+        lambda n, z: n + F.bit_count(z["p"].bitwiseXOR(z["q"])),
+    )
+    found = []
+    for t in range(parts):
+        part = prints.filter("fps is not null").select("rep", F.get("fps", F.lit(t)).alias("fp"))
+        # Who stands for equal parts, and who is whose neighbour on a value, is drawn anew for every part and value:
+        # within a large family each text so meets many others, though never all of them.
+        heads = part.groupBy("fp").agg(F.min_by("rep", F.xxhash64("rep", "fp")).alias("head"))
+        same = part.join(heads, "fp").select(F.col("head").alias("x"), F.col("rep").alias("y"))
+        order = Window.partitionBy("variant").orderBy(F.xxhash64("head", "variant"), "head")
+        near = variants(heads, bits, radius).select(F.lag("head").over(order).alias("x"), F.col("head").alias("y"))
+        met = same.union(near).filter("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+        # Far apart over all parts together: met by chance.
+        close = (
+            met.distinct()
+            .join(prints.alias("x"), F.col("a") == F.col("x.rep"))
+            .join(prints.alias("y"), F.col("b") == F.col("y.rep"))
+            .filter(distance <= parts * bits // 4)
+        )
+        found.append(stage(close.select("a", "b"), f"near-ball-{t}"))
+    pairs = stage(reduce(DataFrame.union, found).distinct(), "near-pairs")
+    unstage(*found)
+    return pairs
+
+
+def _suspects(bodies: DataFrame) -> DataFrame:
+    """(rep) of the texts that share one of their lowest hashes with another, as near copies do; repeats are possible."""
+    low = bodies.select("rep", F.explode("low").alias("token"))
+    found = []
+    for k in range(LOW_PASSES):
+        some = low.filter(F.pmod("token", F.lit(LOW_PASSES)) == k)
+        shared = some.groupBy("token").agg(F.min("rep").alias("x"), F.max("rep").alias("y")).filter("x < y").select("token")
+        found.append(stage(some.join(shared, "token", "left_semi").select("rep").distinct(), f"near-low-{k}"))
+    return reduce(DataFrame.union, found)
 
 
 # Rounding in a bound must never lose a pair; a bound that is too low by one only adds a candidate.
@@ -286,19 +313,21 @@ def _rare_entries(sets: DataFrame, similarity: float) -> DataFrame:
     entry; a text with more of them than it may miss has no near copy.
     """
     tokens = sets.select("rep", F.size("hashes").alias("n"), F.explode("hashes").alias("token"))
-    shared = None
+    passes = []
     for k in range(PASSES):
         some = tokens.filter(F.pmod("token", F.lit(PASSES)) == k)
         counts = some.groupBy("token").agg(F.count("*").alias("texts")).filter("texts > 1")
-        part = stage(some.join(counts, "token"), f"near-shared-{k}")
-        shared = part if shared is None else shared.union(part)
+        passes.append(stage(some.join(counts, "token"), f"near-shared-{k}"))
+    shared = reduce(DataFrame.union, passes)
     order = F.array_sort(F.collect_list(F.struct("texts", "token")))
     texts = shared.groupBy("rep", "n").agg(order.alias("shared"))
     missed = F.col("n") - F.ceil(F.col("n") * F.lit(similarity) - F.lit(_SLACK)).cast("int")
     own = F.col("n") - F.size("shared")
     able = texts.withColumns({"own": own, "length": missed + 1 - own}).filter("length > 0")
     found = able.select("rep", "n", "own", F.posexplode(F.slice("shared", F.lit(1), F.col("length"))).alias("k", "e"))
-    return found.select("rep", "n", F.col("e.token").alias("token"), (F.col("own") + F.col("k")).alias("at"))
+    entries = stage(found.select("rep", "n", F.col("e.token").alias("token"), (F.col("own") + F.col("k")).alias("at")), "near-entries")
+    unstage(*passes)
+    return entries
 
 
 def _with_component(entries: DataFrame, known: DataFrame) -> DataFrame:
@@ -347,7 +376,9 @@ def _all_pairs(placed: DataFrame, similarity: float) -> DataFrame:
     rest, large = dealt.filter("early and not main").alias("x"), dealt.filter("early and main").alias("x")
     one = _named(rest.join(dealt.alias("y"), on))
     other = _named(large.join(dealt.filter("not main").alias("y"), on))
-    return one.union(other).distinct()
+    pairs = stage(one.union(other).distinct(), "near-pairs-3")
+    unstage(dealt)
+    return pairs
 
 
 def _across(pairs: DataFrame, known: DataFrame) -> DataFrame:
