@@ -93,7 +93,10 @@ def line_dedup(
 
     Null text: stays null, counts 0. Empty text: one line, none removed. A null
     id sorts behind all ids; rows that share an id never remove each other's
-    chunks, but each loses its own later copies. A text may become empty.
+    chunks, but each loses its own later copies. A text may become empty. What
+    belongs to a row is found by its id and a hash of its text, so that many rows
+    of one id, or without one, form no group; a list that two texts share says
+    the same of both.
 
     Hashes travel first; bytes only of chunks that several ids share, where a
     chunk held by a third of all documents is reduced before its shuffle.
@@ -102,42 +105,44 @@ def line_dedup(
     def cut(value: str) -> Iterator[tuple[Chunk, bytes | None]]:
         return _bodies(value, window, divisor, min_lines, join)
 
-    key_schema = pa.schema([("key", pa.binary()), ("doc", pa.int64())])
-    body_schema = pa.schema([("key", pa.binary()), ("body", pa.binary()), ("doc", pa.int64())])
+    key_schema = pa.schema([("key", pa.binary()), ("doc", pa.int64()), ("part", pa.int64())])
+    body_schema = pa.schema([("key", pa.binary()), ("body", pa.binary()), ("doc", pa.int64()), ("part", pa.int64())])
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
             for batch in batches:
-                for doc, value in zip(batch["doc"].to_pylist(), batch["value"].to_pylist()):
+                for doc, part, value in zip(*(batch[c].to_pylist() for c in ("doc", "part", "value"))):
                     for key in {_key(body) for _, body in cut(value) if body is not None}:
-                        yield key, doc
+                        yield key, doc, part
 
         yield from flush_every(20_000, key_schema)(rows())
 
     def bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
             for batch in batches:
-                columns = (batch[c].to_pylist() for c in ("doc", "value", "shared"))
-                for doc, value, shared in zip(*columns):
+                columns = (batch[c].to_pylist() for c in ("doc", "part", "value", "shared"))
+                for doc, part, value, shared in zip(*columns):
                     wanted = set(shared)
                     for _, body in cut(value):
                         if body is not None and (key := _key(body)) in wanted:
                             wanted.discard(key)
-                            yield key, body, doc
+                            yield key, body, doc, part
 
         yield from flush_every(500, body_schema)(rows())
 
-    lined = docs.select(id_key(doc_id).alias("doc"), F.col(text).alias("value")).filter(F.col("value").contains("\n"))
-    held = stage(map_batches(lined, keys, "key binary, doc long"), "line-keys")
+    row = {"doc": id_key(doc_id), "part": F.xxhash64(text)}
+    lined = docs.select(*[c.alias(name) for name, c in row.items()], F.col(text).alias("value")).filter(F.col("value").contains("\n"))
+    held = stage(map_batches(lined, keys, "key binary, doc long, part long"), "line-keys")
     shared = held.groupBy("key").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).filter("low < high")
-    wanted = held.join(shared.select("key"), "key").groupBy("doc").agg(F.collect_set("key").alias("shared"))
+    wanted = held.join(shared.select("key"), "key").groupBy("doc", "part").agg(F.collect_set("key").alias("shared"))
     # Rows of one id may differ, so a document that shares a key with itself only is never asked for.
-    found = stage(map_batches(lined.join(wanted, "doc"), bodies, "key binary, body binary, doc long"), "line-bodies")
+    asked = lined.join(wanted, ["doc", "part"])
+    found = stage(map_batches(asked, bodies, "key binary, body binary, doc long, part long"), "line-bodies")
     owners = found.groupBy("key", "body").agg(F.min("doc").alias("owner"))
     dropped = (
         found.join(owners, ["key", "body"])
         .filter("owner < doc")
-        .groupBy(F.col("doc").alias("_ld_doc"))
+        .groupBy(F.col("doc").alias("_ld_doc"), F.col("part").alias("_ld_part"))
         .agg(F.collect_set("key").alias("_ld_keys"))
     )
 
@@ -166,9 +171,9 @@ def line_dedup(
     ship_package(docs.sparkSession)
     new = F.col("_ld_new")
     return (
-        docs.withColumn("_ld_doc", id_key(doc_id))
-        .join(dropped, "_ld_doc", "left")
+        docs.withColumns({f"_ld_{name}": c for name, c in row.items()})
+        .join(dropped, ["_ld_doc", "_ld_part"], "left")
         .withColumn("_ld_new", kept(F.col(text), F.col("_ld_keys")))
         .withColumns({text: new["text"], "n_lines": new["n_lines"], "n_lines_removed": new["n_removed"]})
-        .drop("_ld_doc", "_ld_keys", "_ld_new")
+        .drop("_ld_doc", "_ld_part", "_ld_keys", "_ld_new")
     )

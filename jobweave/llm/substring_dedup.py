@@ -24,20 +24,23 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobweave.llm.common import id_key, map_batches, stage, words_of
+from jobweave.llm.common import id_key, map_batches, stage, unstage, words_of
 from jobweave.session import ship_package
 
 WINDOW = 50
+# A row is found by its id and a hash of its text: many rows of one id, or without one, form no group. What two
+# texts of one id share by chance only adds places to look at.
+ROW = ["doc", "part"]
 _FLUSH = 200_000
-# Odd multipliers of the rolling hashes.
-_BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+# An odd multiplier of the rolling hash.
+_BASE = 0x9E3779B97F4A7C15
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh64_intdigest, words), dtype=np.uint64, count=len(words))
 
 
-def rolling(hashes: np.ndarray, size: int, base: int = _BASES[0]) -> np.ndarray:
+def rolling(hashes: np.ndarray, size: int, base: int = _BASE) -> np.ndarray:
     """A 64-bit hash of every run of ``size`` words, equal for equal runs wherever they start."""
     n = len(hashes) - size + 1
     if n <= 0:
@@ -93,111 +96,123 @@ def _emit(schema: pa.Schema, arrays: Iterator[tuple[np.ndarray, ...]]) -> Iterat
 
 
 def _joined(schema: pa.Schema, held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held)], schema=schema)
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), f.type) for c, f in zip(zip(*held), schema)], schema=schema)
 
 
-Spread = Callable[[int, np.ndarray, np.ndarray], tuple[np.ndarray, ...] | None]
+Spread = Callable[[list[bytes], np.ndarray, np.ndarray], tuple | None]
 
 
 def _spread(df: DataFrame, run: Spread, schema: pa.Schema, ddl: str) -> DataFrame:
-    """Rows of ``run(doc, word hashes, known hashes)`` for every document of ``df`` (doc, value, known)."""
+    """Rows of ``run(words, their hashes, known hashes)`` with doc and part for every row of ``df`` (doc, part, value, known)."""
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def arrays() -> Iterator[tuple[np.ndarray, ...]]:
             for batch in source:
-                for doc, value, known in zip(batch["doc"].to_pylist(), batch["value"].to_pylist(), batch["known"]):
+                columns = (*(batch[c].to_pylist() for c in ("doc", "part", "value")), batch["known"])
+                for doc, part, value, known in zip(*columns):
                     hashes = known.values.to_numpy(zero_copy_only=False) if known.is_valid else np.zeros(0, np.int64)
-                    if found := run(doc, word_hashes(words_of(value)), hashes):
-                        yield found
+                    words = words_of(value)
+                    if found := run(words, word_hashes(words), hashes):
+                        n = len(found[0])
+                        yield (*found, np.full(n, doc), np.full(n, part))
 
         yield from _emit(schema, arrays())
 
-    return map_batches(df.select("doc", "value", "known"), batches, ddl)
+    return map_batches(df.select("doc", "part", "value", "known"), batches, ddl)
 
 
 def _shared(rows: DataFrame, keys: list[str], live: DataFrame) -> DataFrame:
-    """(doc, known): per document the keys that ``live`` names. Both sides shrink; a hot key is split by the join."""
-    return rows.join(live, keys).groupBy("doc").agg(F.collect_set(keys[0]).alias("known"))
+    """(doc, part, known): per text the keys that ``live`` names. Both sides shrink; a hot key is split by the join."""
+    return rows.join(live, keys).groupBy(*ROW).agg(F.collect_set(keys[0]).alias("known"))
 
 
 def whole_copies(narrow: DataFrame) -> DataFrame:
-    """The ids all of whose texts have the words of a text with a smaller id."""
-    schema = pa.schema([("doc", pa.int64()), ("body", pa.binary())])
+    """(doc, part) of the texts that have the words of a text with a smaller id."""
+    schema = pa.schema([("doc", pa.int64()), ("part", pa.int64()), ("body", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             bodies = [xxhash.xxh3_128_digest(b" ".join(words_of(t))) for t in batch["value"].to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch["doc"], pa.array(bodies, pa.binary())], schema=schema)
+            yield pa.RecordBatch.from_arrays([batch["doc"], batch["part"], pa.array(bodies, pa.binary())], schema=schema)
 
-    bodies = stage(map_batches(narrow, run, "doc long, body binary"), "sub-bodies")
+    bodies = stage(map_batches(narrow, run, "doc long, part long, body binary"), "sub-bodies")
     first = bodies.groupBy("body").agg(F.min("doc").alias("first"))
-    copied = bodies.join(first, "body").groupBy("doc").agg(F.bool_and(F.col("first") < F.col("doc")).alias("copied"))
-    return copied.filter("copied").select("doc")
+    copied = bodies.join(first, "body").groupBy(*ROW).agg(F.bool_and(F.col("first") < F.col("doc")).alias("copied"))
+    copies = stage(copied.filter("copied").select(*ROW), "sub-copies")
+    unstage(bodies)
+    return copies
 
 
 def repeated_windows(docs: DataFrame, doc_id: str, text: str, window: int = WINDOW) -> DataFrame:
-    """(doc, gone, copied): per document the hashes of its windows that also start in a document with a smaller id.
+    """(doc, part, gone, copied): per text the windows that also start in a document with a smaller id.
 
-    ``gone`` holds pairs of hashes (96 bits), so equality of hashes stands for equality of words at any size. Of
+    ``gone`` holds a rolling hash of each window, which finds it, and a 128-bit digest of its words, which proves it. Of
     whole copies all windows go, so they are ``copied`` and send none: the first of them stands for all.
     """
     block = window // 2
     # A repeat of ``window`` words must hold a whole aligned block: 2 * block - 1 <= window.
-    narrow = docs.select(id_key(doc_id).alias("doc"), F.col(text).alias("value"))
-    copies = stage(whole_copies(narrow), "sub-copies")
-    keyed = pa.schema([("key", pa.int64()), ("doc", pa.int64())])
+    narrow = docs.select(id_key(doc_id).alias("doc"), F.xxhash64(text).alias("part"), F.col(text).alias("value"))
+    copies = whole_copies(narrow)
+    keyed = pa.schema([("key", pa.int64()), ("doc", pa.int64()), ("part", pa.int64())])
 
-    def sketch(doc: int, words: np.ndarray, known: np.ndarray):
+    def sketch(_: list[bytes], words: np.ndarray, known: np.ndarray):
         keys = smallest_hashes(rolling(words, block), window, block)
-        return (keys, np.full(len(keys), doc)) if len(keys) else None
+        return (keys,) if len(keys) else None
 
     nothing = F.lit(None).cast("array<bigint>").alias("known")
-    sketches = stage(_spread(narrow.select("*", nothing), sketch, keyed, "key long, doc long"), "sub-sketch")
+    sketches = stage(_spread(narrow.select("*", nothing), sketch, keyed, "key long, doc long, part long"), "sub-sketch")
     low_high = sketches.groupBy("key").agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
     places = _shared(sketches, ["key"], low_high.filter("low < high").select("key"))
-    places = stage(places.join(copies, "doc", "left_anti"), "sub-places")
+    places = stage(places.join(copies, ROW, "left_anti"), "sub-places")
+    unstage(sketches)
 
-    probe_schema = pa.schema([("key", pa.int64()), ("doc", pa.int64()), ("indexed", pa.bool_())])
+    probe_schema = pa.schema([("key", pa.int64()), ("indexed", pa.bool_()), ("doc", pa.int64()), ("part", pa.int64())])
 
-    def probe(doc: int, words: np.ndarray, known: np.ndarray):
+    def probe(_: list[bytes], words: np.ndarray, known: np.ndarray):
         runs = rolling(words, block)
         near = around(np.isin(runs, known), window - block, window - block)
         indexed = np.zeros(len(runs), dtype=bool)
         indexed[::block] = near[::block]
         keys, where = np.unique(runs[near], return_inverse=True)
         flags = np.bincount(where, weights=indexed[near], minlength=len(keys)) > 0
-        return (keys, np.full(len(keys), doc), flags) if len(keys) else None
+        return (keys, flags) if len(keys) else None
 
-    probes = stage(
-        _spread(narrow.join(places, "doc"), probe, probe_schema, "key long, doc long, indexed boolean"), "sub-probes"
-    )
+    probing = _spread(narrow.join(places, ROW), probe, probe_schema, "key long, indexed boolean, doc long, part long")
+    probes = stage(probing, "sub-probes")
     hits = probes.groupBy("key").agg(F.min(F.when(F.col("indexed"), F.col("doc"))).alias("low"), F.max("doc").alias("high"))
     anchors = stage(_shared(probes, ["key"], hits.filter("low < high").select("key")), "sub-anchors")
+    unstage(probes, places)
 
-    window_schema = pa.schema([("key", pa.int64()), ("check", pa.int32()), ("doc", pa.int64())])
+    window_schema = pa.schema([("key", pa.int64()), ("check", pa.binary()), ("doc", pa.int64()), ("part", pa.int64())])
 
-    def extend(doc: int, words: np.ndarray, known: np.ndarray):
+    def extend(words: list[bytes], hashes: np.ndarray, known: np.ndarray):
         starts = len(words) - window + 1
         if starts <= 0:
             return None
-        near = around(np.isin(rolling(words, block), known), window - block, 0)[:starts]
-        keys, first = np.unique(rolling(words, window)[near], return_index=True)
-        checks = _checks(words, window)[near][first]
-        return (keys, checks, np.full(len(keys), doc)) if len(keys) else None
+        near = np.flatnonzero(around(np.isin(rolling(hashes, block), known), window - block, 0)[:starts])
+        keys, first = np.unique(rolling(hashes, window)[near], return_index=True)
+        return (keys, _digests(words, near[first], window)) if len(keys) else None
 
-    windows = stage(
-        _spread(narrow.join(anchors, "doc"), extend, window_schema, "key long, check int, doc long"), "sub-windows"
-    )
+    extending = _spread(narrow.join(anchors, ROW), extend, window_schema, "key long, check binary, doc long, part long")
+    windows = stage(extending, "sub-windows")
     earliest = windows.groupBy("key", "check").agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
     later = windows.join(earliest.filter("low < high"), ["key", "check"]).filter("low < doc")
-    gone = later.groupBy("doc").agg(F.collect_set(F.struct("key", "check")).alias("gone"))
+    gone = later.groupBy(*ROW).agg(F.collect_set(F.struct("key", "check")).alias("gone"))
     gone = gone.withColumn("copied", F.lit(False))
-    return stage(gone.unionByName(copies.withColumn("copied", F.lit(True)), allowMissingColumns=True), "sub-gone")
+    gone = stage(gone.unionByName(copies.withColumn("copied", F.lit(True)), allowMissingColumns=True), "sub-gone")
+    unstage(windows, anchors, copies)
+    return gone
 
 
-def _checks(words: np.ndarray, window: int) -> np.ndarray:
-    """32 further bits of every window's hash."""
-    return (rolling(words, window, _BASES[1]) >> 32).astype(np.int32)
+def _digests(words: list[bytes], starts: np.ndarray, window: int) -> np.ndarray:
+    """128 bits of the words of every window that starts at one of ``starts``, words joined by a space."""
+    joined = b" ".join(words)
+    ends = np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1)
+    begins = (ends[starts] - 1 - np.fromiter((len(words[i]) for i in starts), np.int64, len(starts))).tolist()
+    digest = xxhash.xxh3_128_digest
+    found = np.empty(len(starts), dtype=object)
+    found[:] = [digest(joined[a:b]) for a, b in zip(begins, (ends[starts + window - 1] - 1).tolist())]
+    return found
 
 
 def substring_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
@@ -226,16 +241,11 @@ def substring_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             if copied and len(words) >= window:
                 value, lost = "", len(words)
             elif drop.is_valid and len(words) >= window:
-                pairs = drop.values
-                keys = pairs.field("key").to_numpy(zero_copy_only=False)
-                checks = pairs.field("check").to_numpy(zero_copy_only=False)
-                hashes = word_hashes(words)
+                keys = drop.values.field("key").to_numpy(zero_copy_only=False)
+                wanted = set(drop.values.field("check").to_pylist())
                 starts = np.zeros(len(words) - window + 1, dtype=bool)
-                runs = rolling(hashes, window)
-                found = np.flatnonzero(np.isin(runs, keys))
-                wanted = set(zip(keys.tolist(), checks.tolist()))
-                own = zip(runs[found].tolist(), _checks(hashes, window)[found].tolist())
-                starts[found] = [pair in wanted for pair in own]
+                found = np.flatnonzero(np.isin(rolling(word_hashes(words), window), keys))
+                starts[found] = [check in wanted for check in _digests(words, found, window)]
                 cover = repeat_cover(starts, len(words), window)
                 lost = int(cover.sum())
                 if lost:
@@ -246,9 +256,9 @@ def substring_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     ship_package(docs.sparkSession)
     new = F.col("_sd_new")
     return (
-        docs.withColumn("_sd_doc", id_key(doc_id))
-        .join(gone.toDF("_sd_doc", "_sd_gone", "_sd_copied"), "_sd_doc", "left")
+        docs.withColumns({"_sd_doc": id_key(doc_id), "_sd_part": F.xxhash64(text)})
+        .join(gone.toDF("_sd_doc", "_sd_part", "_sd_gone", "_sd_copied"), ["_sd_doc", "_sd_part"], "left")
         .withColumn("_sd_new", kept(F.col(text), F.col("_sd_gone"), F.col("_sd_copied")))
         .withColumns({text: new["text"], "n_words": new["n_words"], "n_removed": new["n_removed"]})
-        .drop("_sd_doc", "_sd_gone", "_sd_copied", "_sd_new")
+        .drop("_sd_doc", "_sd_part", "_sd_gone", "_sd_copied", "_sd_new")
     )
