@@ -18,21 +18,23 @@ import json
 import re
 from collections import Counter
 from collections.abc import Callable, Iterator
-from functools import cached_property
+from functools import cached_property, reduce
 
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark import TaskContext
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from jobweave.llm.common import flush_every, id_key, map_batches, stage, unstage
+from jobweave.llm.common import flush_every, map_batches, stage, unstage
 from jobweave.session import ship_package
 
 COMMON_WORDS = 1 << 18
 # Documents whose words say which are common.
 SAMPLE_ROWS = 20_000
+# Words are looked up in so many passes.
+PASSES = 4
 # Longer words are merged by a heap in a task: the fold's work grows with the square of the length.
 FOLD_BYTES = 64
 _RANKS, _FREE = 1 << 20, 1 << 41
@@ -268,20 +270,54 @@ def common_part(docs: DataFrame, text: str, pattern: str, limit: int, sample_row
 
 
 class CommonWords:
-    """What every task gets of the common words: Arrow columns, made a set or a dictionary in the task's process."""
+    """What every task gets of the common words: Arrow columns, made what a step needs in the task's process."""
 
     def __init__(self, table: pa.Table):
         self.columns = {c: table[c].combine_chunks() if table.num_rows else pa.array([], pa.binary()) for c in table.column_names}
 
     @cached_property
-    def words(self) -> set[str]:
-        return {w.decode() for w in self.columns["word"].to_pylist()}
+    def codes(self) -> Codes:
+        return Codes({w.decode(): k for k, w in enumerate(self.columns["word"].to_pylist())})
 
     @cached_property
-    def ids_of(self) -> dict[str, bytes]:
-        return {w.decode(): i for w, i in zip(self.columns["word"].to_pylist(), self.columns["ids"].to_pylist())}
+    def ids(self) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words in a row, where each word's begin and the last one's end)."""
+        pieces = self.columns["ids"].to_pylist()
+        ends = np.cumsum([0, *(len(p) // 4 for p in pieces)])
+        return np.frombuffer(b"".join(pieces), "<u4") & ~_LAST, ends
 
 
+class Codes(dict):
+    """Numbers of words: the common ones, and for a document's other words new ones from ``_OWN`` upwards."""
+
+    def __init__(self, common: dict[str, int]):
+        super().__init__(common)
+        self.own: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self[word] = code = _OWN + len(self.own)
+        self.own.append(word)
+        return code
+
+    def of(self, words: list[str]) -> tuple[np.ndarray, list[str]]:
+        """The code of each word of a document, and its own words in the order of their codes."""
+        codes = np.array(list(map(self.__getitem__, words)), dtype=np.uint32)
+        own, self.own = self.own, []
+        for word in own:
+            del self[word]
+        return codes, own
+
+
+def gathered(flat: np.ndarray, ends: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """The pieces ``which`` in a row; piece k is ``flat[ends[k] : ends[k + 1]]``."""
+    sizes = (ends[1:] - ends[:-1])[which]
+    behind = np.cumsum(sizes)
+    shift = ends[which] - (behind - sizes)
+    return flat[np.repeat(shift, sizes) + np.arange(behind[-1] if len(behind) else 0)]
+
+
+# Codes of a document's own words start here.
+_OWN = 1 << 31
 # Marks the last id of a word.
 _LAST = np.uint32(1 << 31)
 
@@ -301,7 +337,7 @@ def packed_words(lists: pa.Array) -> pa.Array:
 
 
 def packed(ids: Column) -> Column:
-    """``packed_lists`` of a column; null is empty."""
+    """An array of ids as little-endian unsigned 32-bit integers in a row; null is empty."""
 
     @F.arrow_udf("binary")
     def to_bytes(lists: pa.Array) -> pa.Array:
@@ -310,6 +346,19 @@ def packed(ids: Column) -> Column:
     return to_bytes(F.coalesce(ids, F.array().cast("array<int>")))
 
 
+def unpacked(ids: Column) -> Column:
+    """Packed ids as an array of int."""
+
+    @F.arrow_udf("array<int>")
+    def to_lists(values: pa.Array) -> pa.Array:
+        rows = values.to_pylist()
+        flat = np.frombuffer(b"".join(rows), "<i4")
+        ends = np.cumsum([0, *(len(r) // 4 for r in rows)]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+
+    return to_lists(ids)
+
+
 def joined_pieces(pieces: Column) -> Column:
     """The binary pieces of each array in one; pieces are not null."""
 
@@ -321,103 +370,108 @@ def joined_pieces(pieces: Column) -> Column:
     return joined(pieces)
 
 
-def encode(
+def encode(docs: DataFrame, vocabulary: Vocabulary, pattern: str, text: str = "text", ids: str = "ids", **search) -> DataFrame:
+    """``encode_packed`` with ``ids`` as an array of int."""
+    return encode_packed(docs, vocabulary, pattern, text, ids, **search).withColumn(ids, unpacked(F.col(ids)))
+
+
+def encode_packed(
     docs: DataFrame,
     vocabulary: Vocabulary,
     pattern: str,
-    doc_id: str = "doc_id",
     text: str = "text",
     ids: str = "ids",
+    keep: list[str] | None = None,
     common_words: int = COMMON_WORDS,
     sample_rows: int = SAMPLE_ROWS,
 ) -> DataFrame:
-    """All rows and columns of ``docs`` with ``ids`` (array of int), replacing a column of this name.
+    """All rows of ``docs`` with the columns ``keep``, all by default, and ``ids``, replacing a column of this name.
+
+    ``ids`` is binary: little-endian unsigned 32-bit integers, which ``unpacked``
+    makes an array of. Every match of ``pattern`` in the text is merged
+    separately; no special tokens. Null and empty texts have no ids. Whole texts
+    are encoded, words of any length exactly.
 
-    Every match of ``pattern`` in the text is merged separately; no special
-    tokens. Null and empty texts have no ids. Whole texts are encoded, words of
-    any length exactly. Ids of documents may be null or repeat: what a document
-    looks up is found by its id and a 128-bit digest of its text, so no two texts
-    share a list and rows without an id form no group.
+    A text is split once. It is stored as codes of its words, with its own
+    words, those that aren't common, beside them. Rows are numbered when they are
+    stored, so ids of documents play no part: they may be null or repeat.
     """
     spark = docs.sparkSession
     ship_package(spark)
-    named = common_part(docs, text, pattern, common_words, sample_rows)
-    common = spark.sparkContext.broadcast(CommonWords(named.toArrow()))
-    asked_schema = pa.schema(
-        [("doc", pa.int64()), ("slot", pa.int32()), ("word", pa.binary()), ("id", pa.int64()), ("body", pa.binary())]
-    )
+    keep = docs.columns if keep is None else keep
+    named = stage(common_part(docs, text, pattern, common_words, sample_rows), "bpe-common")
+    common = named.toArrow()
+    split_words = spark.sparkContext.broadcast(CommonWords(common))
+    coded_type = "struct<codes: binary, own: array<binary>>"
+    coded_schema = pa.struct([("codes", pa.binary()), ("own", pa.list_(pa.binary()))])
+
+    @F.arrow_udf(coded_type)
+    def coded(values: pa.Array) -> pa.Array:
+        find, table, pack = split(pattern), split_words.value.codes, zstandard.ZstdCompressor(1).compress
+        rows = []
+        for value in values:  # one text at a time: some are very long
+            words, own = table.of(find(value.as_py()) if value.is_valid else [])
+            rows.append({"codes": pack(words.tobytes()), "own": [w.encode() for w in own]})
+        return pa.array(rows, coded_schema)
+
+    numbered = docs.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)], coded(F.col(text)).alias("_coded"))
+    numbered = numbered.withColumn("_row", F.monotonically_increasing_id())
+    texts = stage(numbered.select("*", "_coded.*").drop("_coded"), "bpe-texts")
+
+    asked = texts.select("_row", F.posexplode("own").alias("slot", "word"))
+    encoded = stage(encoded_words(asked.select("word").union(named).distinct(), vocabulary), "bpe-words")
+    # In the order of their codes, which is that of ``common``.
+    order = {w: k for k, w in enumerate(common["word"].to_pylist())}
+    table = encoded.join(named, "word", "left_semi").toArrow()
+    places = np.argsort([order[w] for w in table["word"].to_pylist()]) if table.num_rows else np.zeros(0, np.int64)
+    shared = spark.sparkContext.broadcast(CommonWords(table.take(pa.array(places)).select(["ids"])))
+    found = []
+    for k in range(PASSES):  # each pass frees its shuffle
+        some = asked.filter(F.pmod(F.xxhash64("word"), F.lit(PASSES)) == k).join(encoded, "word")
+        found.append(stage(some.select("_row", "slot", "ids"), f"bpe-found-{k}"))
+    unstage(encoded, named)
+    lists = reduce(DataFrame.union, found).groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("slot", "ids"))).alias("own"))
+    lists = stage(lists.select("_row", joined_pieces(F.col("own.ids")).alias("own_ids")), "bpe-lists")
+    unstage(*found)
 
-    def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The rare words of each document by a number of its own; slot -1 says which document that is."""
-        find, words, number = split(pattern), common.value.words, TaskContext.get().partitionId() << 40
-
-        def rows() -> Iterator[tuple]:
-            nonlocal number
-            for batch in batches:
-                for key, body, value in zip(*(batch[c].to_pylist() for c in ("id", "body", "value"))):
-                    own = [w for w in dict.fromkeys(find(value)) if w not in words]
-                    if own:
-                        number += 1
-                        yield number, -1, None, key, body
-                        for slot, word in enumerate(own):
-                            yield number, slot, word.encode(), None, None
-
-        yield from flush_every(50_000, asked_schema)(rows())
-
-    body = F.unhex(F.md5(text))
-    narrow = docs.filter(F.length(text) > 0).select(id_key(doc_id).alias("id"), body.alias("body"), F.col(text).alias("value"))
-    asked = stage(map_batches(narrow, rare, "doc long, slot int, word binary, id long, body binary"), "bpe-asked")
-    distinct = asked.filter("slot >= 0").select("word").union(named).distinct()
-    encoded = stage(encoded_words(distinct, vocabulary), "bpe-words")
-    shared = spark.sparkContext.broadcast(CommonWords(encoded.join(named, "word", "left_semi").toArrow()))
-
-    # Of rows with equal ids and texts one list is enough.
-    owners = asked.filter("slot < 0").groupBy("id", "body").agg(F.min("doc").alias("doc"))
-    found = asked.filter("slot >= 0").select("doc", "slot", "word").join(encoded, "word")
-    lists = found.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("slot", "ids"))).alias("words"))
-    lists = lists.join(owners, "doc").select("id", "body", joined_pieces(F.col("words.ids")).alias("words"))
-    lists = stage(lists, "bpe-lists")
-    unstage(asked, encoded, named)
-
-    @F.arrow_udf("array<int>")
-    def looked_up(values: pa.Array, own: pa.Array) -> pa.Array:
-        find, known, out, ends = split(pattern), shared.value.ids_of, [], [0]
-        for value, packed_words in zip(values.to_pylist(), own.to_pylist()):
-            words = find(value) if value else []
-            if packed_words:
-                cuts = (4 * np.flatnonzero(np.frombuffer(packed_words, "<u4") & _LAST) + 4).tolist()
-                pieces = iter([packed_words[a:b] for a, b in zip([0, *cuts], cuts)])
-                rest = {w: next(pieces) for w in dict.fromkeys(words) if w not in known}
-                one = b"".join([known.get(w) or rest[w] for w in words])
+    @F.arrow_udf("binary")
+    def looked_up(codes: pa.Array, own: pa.Array) -> pa.Array:
+        flat, ends, unpack = *shared.value.ids, zstandard.ZstdDecompressor().decompress
+        out = []
+        for packed_codes, packed_own in zip(codes.to_pylist(), own.to_pylist()):
+            which = np.frombuffer(unpack(packed_codes), np.uint32).astype(np.int64)
+            if packed_own:
+                rest = np.frombuffer(packed_own, "<u4")
+                cuts = np.flatnonzero(rest & _LAST) + 1
+                which = np.where(which >= _OWN, which - _OWN + len(ends) - 1, which)
+                ids = gathered(np.concatenate((flat, rest & ~_LAST)), np.concatenate((ends, ends[-1] + cuts)), which)
             else:
-                one = b"".join([known[w] for w in words])
-            out.append(one)
-            ends.append(ends[-1] + len(one) // 4)
-        flat = np.frombuffer(b"".join(out), "<u4") & ~_LAST
-        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat.astype(np.int32)))
+                ids = gathered(flat, ends, which)
+            out.append(ids.astype("<u4").tobytes())
+        return pa.array(out, pa.binary())
 
-    return (
-        docs.withColumns({"_bpe_id": id_key(doc_id), "_bpe_body": body})
-        .join(lists.toDF("_bpe_id", "_bpe_body", "_bpe_words"), ["_bpe_id", "_bpe_body"], "left")
-        .withColumn(ids, looked_up(F.col(text), F.col("_bpe_words")))
-        .drop("_bpe_id", "_bpe_body", "_bpe_words")
-    )
+    joined = texts.drop("own").join(lists, "_row", "left").withColumn("_ids", looked_up(F.col("codes"), F.col("own_ids")))
+    kept = [F.col(f"_k{i}").alias(c) for i, c in enumerate(keep) if c != ids]
+    return joined.select(*kept, F.col("_ids").alias(ids))
 
 
-def decode(ids: Column, vocabulary: Vocabulary) -> Column:
-    """The bytes of an array of ids: the pieces joined."""
+def decode_packed(ids: Column, vocabulary: Vocabulary) -> Column:
+    """The bytes of packed ids: the pieces joined."""
     pieces = vocabulary.pieces
 
     @F.arrow_udf("binary")
-    def joined(lists: pa.Array) -> pa.Array:
+    def joined(rows: pa.Array) -> pa.Array:
         table = np.array([*pieces, b""], dtype=object)[:-1]
-        chosen = table[lists.values.to_numpy(zero_copy_only=False)]
-        ends = lists.offsets.to_pylist()
-        return pa.array([b"".join(chosen[a:b]) for a, b in zip(ends, ends[1:])], pa.binary())
+        return pa.array([b"".join(table[np.frombuffer(row, "<u4")]) for row in rows.to_pylist()], pa.binary())
 
-    return joined(F.coalesce(ids, F.array().cast("array<int>")))
+    return joined(ids)
+
+
+def decode(ids: Column, vocabulary: Vocabulary) -> Column:
+    """The bytes of an array of ids; those of null are empty."""
+    return decode_packed(packed(ids), vocabulary)
 
 
-def ids_digest(ids: Column) -> Column:
+def ids_digest(packed_ids: Column) -> Column:
     """SHA-256 (lower-case hex) of the ids as little-endian unsigned 32-bit integers."""
-    return F.sha2(packed(ids), 256)
+    return F.sha2(packed_ids, 256)

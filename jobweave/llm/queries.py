@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from jobweave.llm import sql_parts as sql
 import corpus_pipeline
-from jobweave.llm.byte_bpe import Vocabulary, decode, encode, ids_digest, tokenizer_files
+from jobweave.llm.byte_bpe import Vocabulary, decode_packed, encode_packed, ids_digest, tokenizer_files
 from jobweave.llm.chat_format import format_conversations, read_back, text_part
 from jobweave.llm.common import ascii_words
 from jobweave.llm.decontaminate import contained_items
@@ -78,12 +78,12 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5(spark: SparkSession, sf_dir: str, rank_file: str = "byte_bpe_multi_50k.tiktoken") -> DataFrame:
     files = tokenizer_files()
     vocabulary = Vocabulary.load(files.path(rank_file))
-    encoded = encode(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary, files.PATTERN)
+    encoded = encode_packed(table(spark, sf_dir, "documents"), vocabulary, files.PATTERN, keep=["doc_id"])
     return encoded.select(
         "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
+        F.expr("octet_length(ids) div 4").alias("n_tokens"),
         ids_digest(F.col("ids")).alias("ids_sha256"),
-        F.sha2(decode(F.col("ids"), vocabulary), 256).alias("decoded_sha256"),
+        F.sha2(decode_packed(F.col("ids"), vocabulary), 256).alias("decoded_sha256"),
     )
 
 
