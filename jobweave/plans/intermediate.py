@@ -121,19 +121,24 @@ def int_job_titles_normalized(stg: DataFrame) -> DataFrame:
     )
 
 
-def int_salary_estimates(stg: DataFrame) -> DataFrame:
-    """Best estimate per title, location, currency and day.
-
-    Only the grain and the ranking columns are needed to choose a row, so the
-    measures are derived after the choice.
-    """
-    df = stg.withColumns(
+def with_estimate_grain(stg: DataFrame) -> DataFrame:
+    """Staged estimates with the columns of ``ESTIMATE_GRAIN`` and the parts of their location."""
+    return stg.withColumns(
         {
             "title_normalized": title.normalize_job_title("job_title"),
             "_parts": location.split_location("location"),
             "salary_currency": F.coalesce("salary_currency", F.lit(salary.DEFAULT_CURRENCY)),
         }
     ).withColumn("location_key", location.parsed_location_key("_parts"))
+
+
+def int_salary_estimates(stg: DataFrame) -> DataFrame:
+    """Best estimate per title, location, currency and day.
+
+    Only the grain and the ranking columns are needed to choose a row, so the
+    measures are derived after the choice.
+    """
+    df = with_estimate_grain(stg)
     level = F.lower("confidence")
     rank = F.when(level == "high", 1).when(level == "medium", 2).otherwise(3)
     df = best_per_key(

@@ -13,18 +13,31 @@ POSTING_GRAIN = ["job_id", "ingestion_date"]
 SALARY_GRAIN = ["location", "job_title", "salaries_updated_at", "publisher_name"]
 
 
+def content_hash(raw: DataFrame) -> Column:
+    return F.xxhash64(*[F.col(c) for c in sorted(raw.columns)])
+
+
 def newest_record(raw: DataFrame) -> list[Column]:
     """Newest file first; records of one file that share a key are ordered by a hash of their content, not by chance."""
-    content = F.xxhash64(*[F.col(c) for c in sorted(raw.columns)])
-    return [F.col("_file_modified_at").desc_nulls_last(), F.col("_file_path").desc_nulls_last(), content.asc()]
+    return [F.col("_file_modified_at").desc_nulls_last(), F.col("_file_path").desc_nulls_last(), content_hash(raw).asc()]
+
+
+# How stored staging rows are ordered, greatest first; the same order as ``newest_record``.
+STORED_ORDER = ["_ingested_at", "_stored_path", "_stored_content"]
+
+
+def with_stored_order(raw: DataFrame) -> DataFrame:
+    """Raw rows with what a later batch needs to tell which record of a key is newer."""
+    # The smallest hash comes first, so the greatest complement does.
+    return raw.withColumns({"_stored_path": F.col("_file_path"), "_stored_content": F.bitwise_not(content_hash(raw))})
 
 
 def canonical(column: str) -> Column:
     return F.lower(F.trim(column))
 
 
-def stg_jobs(raw: DataFrame) -> DataFrame:
-    """Latest record per job and ingestion day, renamed and typed.
+def stg_jobs(raw: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
+    """Latest record per job and ingestion day, renamed and typed; ``extra`` columns of the raw record are kept.
 
     The posting time is UTC by contract, so it is kept without a zone and its
     day does not depend on the session.
@@ -64,11 +77,18 @@ def stg_jobs(raw: DataFrame) -> DataFrame:
         posted.cast("date").alias("posted_date"),
         posted.alias("posted_timestamp"),
         F.col("_file_modified_at").alias("_ingested_at"),
+        *extra,
     )
 
 
 def stg_salary_history(raw: DataFrame) -> DataFrame:
     """Latest estimate per place, title, update time and publisher."""
+    # The missing-median filter comes after the choice of the latest record.
+    return latest_estimates(raw).filter(F.col("median_salary").isNotNull())
+
+
+def latest_estimates(raw: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
+    """The latest record of each key, also where it takes the median back."""
     typed = raw.withColumns(
         {
             "location": canonical("location"),
@@ -83,8 +103,7 @@ def stg_salary_history(raw: DataFrame) -> DataFrame:
         for bound in ("min", "max", "median")
     ]
     latest = best_per_key(typed, SALARY_GRAIN, newest_record(typed))
-    # The missing-median filter comes after the choice of the latest record.
-    return latest.filter(F.col("median_salary").isNotNull()).select(
+    return latest.select(
         "job_title",
         "location",
         *measures,
@@ -96,4 +115,5 @@ def stg_salary_history(raw: DataFrame) -> DataFrame:
         "confidence",
         "ingestion_date",
         "_ingested_at",
+        *extra,
     )
