@@ -41,7 +41,13 @@ def mart_job_market_benchmarks(
     def known(df: DataFrame) -> DataFrame:
         return good_quality(df, qualities).filter(F.col("job_title_key") != keys.UNKNOWN_TITLE_KEY)
 
-    latest = latest_per_key(known(estimates), SERIES, "date_key", "salary_estimate_key").select(
+    demand = disclosure(known(postings), PLACE, "has_salary_disclosed")
+    return benchmark_rows(demand, latest_pay(known(estimates)), dim_job_title, dim_location).drop(*PLACE)
+
+
+def latest_pay(estimates: DataFrame) -> DataFrame:
+    """The newest estimate per title, place and currency."""
+    return latest_per_key(estimates, SERIES, "date_key", "salary_estimate_key").select(
         *SERIES,
         "salary_median_annual",
         "salary_min_annual",
@@ -53,13 +59,17 @@ def mart_job_market_benchmarks(
         "estimate_reliability",
         F.col("salary_count").alias("estimate_sample_size"),
     )
-    demand = disclosure(known(postings), PLACE, "has_salary_disclosed")
+
+
+def benchmark_rows(demand: DataFrame, latest: DataFrame, dim_job_title: DataFrame, dim_location: DataFrame) -> DataFrame:
+    """The benchmark mart, with its keys, from demand per title and place and pay per title, place and currency."""
     both = combine_measures(demand, latest, PLACE).filter(
         F.col("total_postings").isNotNull() | F.col("salary_median_annual").isNotNull()
     )
     titles = scoped_titles(dim_job_title)
     places = benchmark_locations(dim_location)
     return both.join(titles, "job_title_key").join(places, "location_key").select(
+        *PLACE,
         "title_normalized",
         "role_family",
         "is_management",
@@ -255,9 +265,6 @@ def mart_company_hiring(
     """Hiring per company, market and role family in the benchmark markets."""
     titles = scoped_titles(dim_job_title).select("job_title_key", "role_family")
     places = benchmark_locations(dim_location).select("location_key", "market", "country_clean")
-    companies = dim_company.filter(F.col("company_key") != keys.UNKNOWN_KEY).select(
-        "company_key", "company_name_clean", "hq_market", "posting_volume_band"
-    )
     known = postings.filter(F.col("company_key") != keys.UNKNOWN_KEY)
     # The company's top rank counts all its postings, shown here or not.
     ranked = max_per_company(known, "company_key", "seniority_rank", "_top_rank")
@@ -274,11 +281,20 @@ def mart_company_hiring(
         F.min("first_seen_at").alias("first_posting_seen"),
         F.max("last_seen_at").alias("last_posting_seen"),
     )
+    return hiring_rows(hiring, dim_company).drop("company_key")
+
+
+def hiring_rows(hiring: DataFrame, dim_company: DataFrame) -> DataFrame:
+    """The hiring mart, with its key, from measures per company, market and role family."""
+    companies = dim_company.filter(F.col("company_key") != keys.UNKNOWN_KEY).select(
+        "company_key", "company_name_clean", "hq_market", "posting_volume_band"
+    )
     spread = hiring.groupBy("company_key").agg(
         F.count_distinct("role_family").alias("distinct_role_families"),
         F.count_distinct("market").alias("markets_hiring_in"),
     )
     return hiring.join(spread, "company_key").join(companies, "company_key").select(
+        "company_key",
         "company_name_clean",
         "hq_market",
         "posting_volume_band",

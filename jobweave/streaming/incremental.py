@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from jobweave.operators.dedup import dedup_keep_null_ids, latest_per_key
 from jobweave.operators.incremental import read_or_empty, upsert_newest, upsert_partitions
+from jobweave.sources.change_table import ChangeTable
 from jobweave.sources.raw_zone import with_file_meta
 
 BUCKET = "bucket"
@@ -73,6 +74,29 @@ def dedup_stored(
     )
 
 
+def upsert_changes(
+    stream: DataFrame, table: ChangeTable, checkpoint: str, compact_after: int = 50
+) -> StreamingQuery:
+    """Keep one current row per key in a table of change folders; its ``order`` says which row is newer.
+
+    A micro-batch is reduced to one row per key and written as it is: nothing
+    stored is read or rewritten, so a batch of one key costs one row. A batch
+    counts from its commit on; one that is replayed after it is left out.
+    """
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        latest = latest_per_key(batch, table.keys, *table.order)
+        table.append(latest, batch=batch_id)
+        if len(table.state()["changes"]) > compact_after:
+            table.compact()
+
+    return (
+        stream.writeStream.foreachBatch(apply)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def upsert_stream(
     stream: DataFrame,
     path: str,

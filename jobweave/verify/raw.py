@@ -17,6 +17,7 @@ from jobweave import schemas
 from jobweave.operators import audit, checks, dedup
 from jobweave.plans import enrichment
 from jobweave.session import scratch_path
+from jobweave.sources.change_table import ChangeTable
 from jobweave.sources import raw_zone, tables
 from jobweave.streaming import incremental as streams
 from jobweave.verify import dialect as d
@@ -744,9 +745,6 @@ def l2(spark: SparkSession, sf_dir: str) -> DataFrame:
     "qualify row_number() over (partition by user_id order by ts desc, event_id desc) = 1",
 )
 def l3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = scratch_path(spark, "stream-table")
-    stream = _event_stream(spark, sf_dir)
-    streams.upsert_stream(
-        stream, out, ["user_id"], ["ts", "event_id"], scratch_path(spark, "stream-check"), buckets=8
-    ).awaitTermination()
-    return spark.read.parquet(out).select("user_id", "event_id", "event_type", "value")
+    users = ChangeTable(spark, scratch_path(spark, "stream-table"), ["user_id"], ["ts", "event_id"])
+    streams.upsert_changes(_event_stream(spark, sf_dir), users, scratch_path(spark, "stream-check")).awaitTermination()
+    return users.read().select("user_id", "event_id", "event_type", "value")
