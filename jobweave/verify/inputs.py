@@ -16,7 +16,10 @@ from pyspark.sql.types import StructType
 DAY_SHIFT = 9497
 
 
+ORDERS_A_PARTITION = 10_000
+
 _schemas: dict[tuple[str, str], StructType] = {}
+_counts: dict[tuple[str, str], int] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -94,9 +97,12 @@ def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with place, part and numbering; unused joins carry few columns."""
     part = table(spark, sf_dir, "part")
     parts = part.select(F.count("*")).scalar()
-    # A driver table is one file with one row group and so one task. The hint deals narrow orders
-    # into partitions of the advisory size, as many as there are data, not as there are cores.
-    orders = table(spark, sf_dir, "orders").hint("rebalance")
+    # A driver table is one file with one row group and so one task. Orders are narrow but become long
+    # texts, so they are dealt by their number, as many partitions as there are data, not as there are cores.
+    orders = table(spark, sf_dir, "orders")
+    if (sf_dir, "orders") not in _counts:
+        _counts[sf_dir, "orders"] = orders.count()
+    orders = orders.repartition(-(-_counts[sf_dir, "orders"] // ORDERS_A_PARTITION) or 1)
     orders = orders.withColumns(
         {
             "_part": F.col("o_orderkey") % parts,
