@@ -16,6 +16,7 @@ from jobweave.verify.inputs import INPUT_SQL, table
 from jobweave.verify.models import DIM_DATE, duplicate_pairs
 from jobweave.verify.registry import query
 from jobweave.plans.intermediate import actionable_order
+from jobweave.operators.ranking import ranked
 from jobweave.operators.similar import classify_pairs, similar_pairs
 
 c = F.col
@@ -552,7 +553,8 @@ def _segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def f10(spark: SparkSession, sf_dir: str) -> DataFrame:
     order = [c("n").desc(), c("p_name").asc(), c("p_brand").asc()]
-    return rates.rank_in_segment(_segments(spark, sf_dir), ["p_type"], order, "segment_rank")
+    found = ranked(_segments(spark, sf_dir), ["p_type"], order, "segment_rank")
+    return found.withColumn("segment_rank", c("segment_rank").cast("int"))
 
 
 @query(
