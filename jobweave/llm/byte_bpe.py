@@ -22,6 +22,7 @@ from functools import cached_property, reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import zstandard
 from pyspark.sql import Column, DataFrame
@@ -30,14 +31,14 @@ from pyspark.sql import functions as F
 from jobweave.llm.common import flush_every, map_batches, stage, unstage
 from jobweave.session import ship_package
 
-COMMON_WORDS = 1 << 18
+COMMON_WORDS = 1 << 17
 # Documents whose words say which are common.
 SAMPLE_ROWS = 20_000
 # Words are looked up in so many passes.
 PASSES = 4
 # Longer words are merged by a heap in a task: the fold's work grows with the square of the length.
 FOLD_BYTES = 64
-_RANKS, _FREE = 1 << 20, 1 << 41
+_RANKS = 1 << 20
 _NONE = (1 << 31) - 1
 _HELD_WORDS = 300_000
 
@@ -100,7 +101,7 @@ def merge_long(word: bytes, byte_ids: list[int], merges: dict[tuple[int, int], i
     return [x for x in ids if x is not None]
 
 
-def rank_table(vocabulary: Vocabulary) -> tuple[list[int], list[int]]:
+def rank_table(vocabulary: Vocabulary) -> tuple[list[int], list[int | None]]:
     """(offsets, slots): the merges of all left pieces laid over each other in one array.
 
     The merge of a and b is at ``offsets[a] + b``; the slot there holds a, above
@@ -112,19 +113,20 @@ def rank_table(vocabulary: Vocabulary) -> tuple[list[int], list[int]]:
     for (a, b), rank in vocabulary.merges.items():
         rights.setdefault(a, {})[b] = rank
     n = len(vocabulary.pieces)
-    offsets, slots = [0] * n, [_FREE] * (4 * n + 1)
+    offsets, slots = [0] * n, [None] * (4 * n + 1)
     # The largest rows first; each is tried from a place of its own onwards, where a fifth of the slots is taken at most.
     for a, ranks in sorted(rights.items(), key=lambda x: -len(x[1])):
         start = a * 7919 % (3 * n)
-        offset = next(o % (3 * n) for o in range(start, start + 3 * n) if all(slots[o % (3 * n) + b] == _FREE for b in ranks))
+        offset = next(o % (3 * n) for o in range(start, start + 3 * n) if all(slots[o % (3 * n) + b] is None for b in ranks))
         offsets[a] = offset
         for b, rank in ranks.items():
             slots[offset + b] = a * _RANKS + rank
     return offsets, slots
 
 
-def _literal(numbers: list[int], kind: str) -> Column:
-    return F.split(F.lit(",".join(map(str, numbers))), ",").cast(f"array<{kind}>")
+def _literal(numbers: list[int | None], kind: str) -> Column:
+    """A constant array; what is missing takes no room in the plan and becomes null."""
+    return F.split(F.lit(",".join("" if n is None else str(n) for n in numbers)), ",").try_cast(f"array<{kind}>")
 
 
 def _let(value: Column, then) -> Column:
@@ -432,10 +434,10 @@ def encode_packed(
     asked = texts.select("_row", F.posexplode("own").alias("slot", "word"))
     encoded = stage(encoded_words(asked.select("word").union(named).distinct(), vocabulary), "bpe-words")
     # In the order of their codes, which is that of ``common``.
-    order = {w: k for k, w in enumerate(common["word"].to_pylist())}
     table = encoded.join(named, "word", "left_semi").toArrow()
-    places = np.argsort([order[w] for w in table["word"].to_pylist()]) if table.num_rows else np.zeros(0, np.int64)
-    shared = spark.sparkContext.broadcast(CommonWords(table.take(pa.array(places)).select(["ids"])))
+    table = table.select(["ids"]).take(pc.index_in(common["word"], value_set=table["word"].combine_chunks()))
+    shared = spark.sparkContext.broadcast(CommonWords(table))
+    del common, table
     found = []
     for k in range(PASSES):  # each pass frees its shuffle
         some = asked.filter(F.pmod(F.xxhash64("word"), F.lit(PASSES)) == k).join(encoded, "word")
