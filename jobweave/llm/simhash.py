@@ -202,36 +202,42 @@ def near_groups(
     copies of each other. Stage tables go after their last reader.
     """
     read_schema = pa.schema(
-        [("doc", pa.int64()), ("place", pa.int64()), ("body", pa.binary())]
+        [("doc", pa.int64()), ("place", pa.int64()), ("mark", pa.binary()), ("body", pa.binary())]
         + [("fps", pa.list_(pa.int64())), ("low", pa.list_(pa.int64()))]
     )
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
             for batch in batches:
-                for doc, place, value in zip(*(batch[c].to_pylist() for c in ("doc", "place", "value"))):
+                for doc, place, mark, value in zip(*(batch[c].to_pylist() for c in ("doc", "place", "mark", "value"))):
                     words = [w.lower() for w in words_of(value)]
                     hashes = np.unique(shingle_hashes(words, size).view(np.int64))
                     low = hashes[: most_missed(len(hashes), similarity) + 1]
-                    yield doc, place, body_digest(words), part_fingerprints(words, parts, bits) if words else None, low
+                    yield doc, place, mark, body_digest(words), part_fingerprints(words, parts, bits) if words else None, low
 
         yield from flush_every(1_000, read_schema)(rows())
 
-    # Where a text can be fetched again: its id, or a hash of it where there is none.
+    # Where a text can be fetched again: its id, or a hash of it where there is none, and the text's own digest.
     place = F.coalesce(F.col(doc_id).cast("long"), F.xxhash64(text))
-    narrow = docs.select(id_key(doc_id).alias("doc"), place.alias("place"), F.col(text).alias("value"))
-    held = stage(map_batches(narrow, read, "doc long, place long, body binary, fps array<long>, low array<long>"), "near-fps")
+    mark = F.unhex(F.md5(F.coalesce(F.col(text), F.lit(""))))
+    narrow = docs.select(id_key(doc_id).alias("doc"), place.alias("place"), mark.alias("mark"), F.col(text).alias("value"))
+    read_type = "doc long, place long, mark binary, body binary, fps array<long>, low array<long>"
+    held = stage(map_batches(narrow, read, read_type), "near-fps")
     rows = stage(held.select("doc", "body"), "near-rows")
-    bodies = held.groupBy("body").agg(F.min("place").alias("place"), F.first("fps").alias("fps"), F.first("low").alias("low"))
+    spot = F.min(F.struct("place", "mark")).alias("spot")
+    prints = held.groupBy("body").agg(spot, F.first("fps").alias("fps"), F.first("low").alias("low"))
     # Numbers are shorter than digests, and as the table is written they stay what they are.
-    bodies = stage(bodies.withColumn("rep", F.monotonically_increasing_id()), "near-bodies")
+    prints = stage(prints.withColumn("rep", F.monotonically_increasing_id()), "near-prints")
     unstage(held)
 
-    pairs = _ball_pairs(bodies, parts, bits, radius)
-    suspects = _suspects(bodies)
+    pairs = _ball_pairs(prints, parts, bits, radius)
+    suspects = _suspects(prints)
     named = suspects.union(pairs.select("a")).union(pairs.select("b")).distinct()
-    sets = stage(_shingle_sets(narrow, bodies, named, size), "near-sets")
-    unstage(suspects)
+    wanted = stage(prints.join(named, "rep", "left_semi").select("rep", "spot.*"), "near-wanted")
+    bodies = stage(prints.select("body", "rep"), "near-bodies")
+    unstage(suspects, prints)  # fingerprints and low hashes are several times the size of what is still needed
+    sets = stage(_shingle_sets(narrow, wanted, size), "near-sets")
+    unstage(wanted)
     entries = _rare_entries(sets, similarity)
 
     links = stage(_verified(pairs.groupBy("b").agg(F.min("a").alias("a")), sets, similarity), "near-links-1")
@@ -392,23 +398,26 @@ def _across(pairs: DataFrame, known: DataFrame) -> DataFrame:
     )
 
 
-def _shingle_sets(narrow: DataFrame, bodies: DataFrame, named: DataFrame, size: int) -> DataFrame:
-    """(rep, hashes) of the named texts, one row each: their distinct shingle hashes in order."""
+def _shingle_sets(narrow: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+    """(rep, hashes) of the wanted texts, one row each: their distinct shingle hashes in order.
+
+    Rows may repeat, so one of each place and mark stays before sets are made:
+    the grouping keeps the join's partitions, and no set is shuffled.
+    """
     schema = pa.schema([("rep", pa.int64()), ("hashes", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
             for batch in batches:
-                for rep, body, value in zip(*(batch[c].to_pylist() for c in ("rep", "body", "value"))):
+                for rep, value in zip(batch["rep"].to_pylist(), batch["value"].to_pylist()):
                     words = [w.lower() for w in words_of(value)]
-                    if body_digest(words) == body:  # another text may have the same id
-                        yield rep, np.unique(shingle_hashes(words, size).view(np.int64))
+                    yield rep, np.unique(shingle_hashes(words, size).view(np.int64))
 
         yield from flush_every(1_000, schema)(rows())
 
-    wanted = bodies.join(named, "rep", "left_semi").select("rep", "place", "body")
-    read = map_batches(narrow.join(wanted, "place").select("rep", "body", "value"), run, "rep long, hashes array<long>")
-    return read.dropDuplicates(["rep"])  # rows may repeat
+    keys = ["place", "mark"]
+    texts = narrow.join(wanted, keys).groupBy(*keys).agg(F.first("rep").alias("rep"), F.first("value").alias("value"))
+    return map_batches(texts.select("rep", "value"), run, "rep long, hashes array<long>")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
