@@ -429,9 +429,13 @@ def encode_packed(
 
     numbered = docs.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)], coded(F.col(text)).alias("_coded"))
     numbered = numbered.withColumn("_row", F.monotonically_increasing_id())
-    texts = stage(numbered.select("*", "_coded.*").drop("_coded"), "bpe-texts")
+    coded_texts = stage(numbered.select("*", "_coded.*").drop("_coded"), "bpe-coded")
+    # Apart, so that the words go after their last reader and aren't stored beside the codes' shuffle.
+    own_words = stage(coded_texts.filter(F.size("own") > 0).select("_row", "own"), "bpe-own")
+    texts = stage(coded_texts.drop("own"), "bpe-texts")
+    unstage(coded_texts)
 
-    asked = texts.select("_row", F.posexplode("own").alias("slot", "word"))
+    asked = own_words.select("_row", F.posexplode("own").alias("slot", "word"))
     encoded = stage(encoded_words(asked.select("word").union(named).distinct(), vocabulary), "bpe-words")
     # In the order of their codes, which is that of ``common``.
     table = encoded.join(named, "word", "left_semi").toArrow()
@@ -442,7 +446,7 @@ def encode_packed(
     for k in range(PASSES):  # each pass frees its shuffle
         some = asked.filter(F.pmod(F.xxhash64("word"), F.lit(PASSES)) == k).join(encoded, "word")
         found.append(stage(some.select("_row", "slot", "ids"), f"bpe-found-{k}"))
-    unstage(encoded, named)
+    unstage(encoded, named, own_words)
     lists = reduce(DataFrame.union, found).groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("slot", "ids"))).alias("own"))
     lists = stage(lists.select("_row", joined_pieces(F.col("own.ids")).alias("own_ids")), "bpe-lists")
     unstage(*found)
@@ -463,7 +467,7 @@ def encode_packed(
             out.append(ids.astype("<u4").tobytes())
         return pa.array(out, pa.binary())
 
-    joined = texts.drop("own").join(lists, "_row", "left").withColumn("_ids", looked_up(F.col("codes"), F.col("own_ids")))
+    joined = texts.join(lists, "_row", "left").withColumn("_ids", looked_up(F.col("codes"), F.col("own_ids")))
     kept = [F.col(f"_k{i}").alias(c) for i, c in enumerate(keep) if c != ids]
     return joined.select(*kept, F.col("_ids").alias(ids))
 
