@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from jobweave.llm.common import flush_every, map_batches, stage, unstage
+from jobweave.llm.common import bound_batches, flush_every, map_batches, stage, unstage
 from jobweave.session import ship_package
 
 COMMON_WORDS = 1 << 17
@@ -409,6 +409,7 @@ def encode_packed(
     """
     spark = docs.sparkSession
     ship_package(spark)
+    bound_batches(spark)
     keep = docs.columns if keep is None else keep
     named = stage(common_part(docs, text, pattern, common_words, sample_rows), "bpe-common")
     # The commonest words get the smallest codes.

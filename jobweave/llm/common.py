@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -42,6 +42,21 @@ def unstage(*staged: DataFrame) -> None:
             path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
+# Rows a batch between the JVM and Python, for operators that hold several forms of a batch's texts at once.
+BATCH_ROWS = 1_000
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Lower the session's batches to ``BATCH_ROWS`` rows; a smaller setting stays. Only speed and memory depend on it.
+
+    The setting is read when a plan is made, after the operator has returned, so it stays set.
+    """
+    rows = int(spark.conf.get(_BATCH_SETTING))
+    if rows <= 0 or rows > BATCH_ROWS:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_ROWS))
+
+
 def id_key(column: str) -> Column:
     """The id as a key that is never null."""
     return F.coalesce(F.col(column).cast("long"), F.lit(LAST_ID))
