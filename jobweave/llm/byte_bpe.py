@@ -448,9 +448,13 @@ def encode_packed(
         some = asked.filter(F.pmod(F.xxhash64("word"), F.lit(PASSES)) == k).join(encoded, "word")
         found.append(stage(some.select("_row", "slot", "ids"), f"bpe-found-{k}"))
     unstage(encoded, named, own_words)
-    lists = reduce(DataFrame.union, found).groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("slot", "ids"))).alias("own"))
-    lists = stage(lists.select("_row", joined_pieces(F.col("own.ids")).alias("own_ids")), "bpe-lists")
+    lists = []
+    for k in range(PASSES):
+        some = reduce(DataFrame.union, found).filter(F.pmod("_row", F.lit(PASSES)) == k)
+        own = some.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("slot", "ids"))).alias("own"))
+        lists.append(stage(own.select("_row", joined_pieces(F.col("own.ids")).alias("own_ids")), f"bpe-lists-{k}"))
     unstage(*found)
+    lists = reduce(DataFrame.union, lists)
 
     @F.arrow_udf("binary")
     def looked_up(codes: pa.Array, own: pa.Array) -> pa.Array:
