@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from jobweave.sources.tables import stage
+
+# Bits for each marked key, and the most 64-bit words of all marks (8 MB): beyond that more rows pass in vain.
+BITS_A_KEY, MOST_WORDS = 16, 1 << 20
+
 
 def best_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """The first row of each key under a total order.
@@ -33,6 +40,53 @@ def best_with_span(
     return best_per_key(df, keys, order).join(spans, keys)
 
 
+def _spot(hashed: Column, words: int) -> tuple[Column, Column]:
+    """Word and bit of a hash."""
+    return F.pmod(F.shiftright(hashed, 6), F.lit(words)).cast("int"), hashed.bitwiseAND(63).cast("int")
+
+
+def marks(df: DataFrame) -> Callable[..., Column] | None:
+    """A test that holds for every row of ``df``, and for few others; None without rows.
+
+    The keys' hashes set bits of one array, which every task gets as the value
+    of a scalar subquery. So a scan of wide rows can leave out most rows that
+    aren't wanted before anything is shuffled; an exact choice has to follow.
+    """
+    hashes = stage(df.select(F.xxhash64(*df.columns).alias("_h")), "marks")
+    count = hashes.count()
+    if not count:
+        return None
+    words = min(MOST_WORDS, 1 << (count * BITS_A_KEY // 64).bit_length())
+    word, bit = _spot(F.col("_h"), words)
+    masks = hashes.select(word.alias("_word"), bit.alias("_bit")).selectExpr("_word", "shiftleft(1L, _bit) as _mask")
+    # Every word is there, so a word's number is its place in the array.
+    every = masks.union(df.sparkSession.range(words).selectExpr("cast(id as int)", "0L")).groupBy("_word").agg(F.bit_or("_mask").alias("_mask"))
+    array = every.agg(F.sort_array(F.collect_list(F.struct("_word", "_mask")))["_mask"]).scalar()
+
+    def marked(*columns: Column | str) -> Column:
+        place, at = _spot(F.xxhash64(*columns), words)
+        # Never null: for a test that may be null Spark infers a second test of the same cost.
+        return F.coalesce(F.getbit(F.get(array, place), at), F.lit(0)) == 1
+
+    return marked
+
+
+def best_wide_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+    """``best_per_key`` for wide rows of which most are alone with their key.
+
+    Rows surely alone with their key are handed on by the scan; all others,
+    also those that only look repeated, reach the choice. The frame is read
+    twice more. Where most keys repeat, as much is shuffled as by ``best_per_key``.
+    """
+    repeated = stage(df.groupBy(*keys).agg(F.count("*").alias("_n")).filter("_n > 1").select(*keys), "repeated")
+    first, every = marks(repeated.select(keys[0])), marks(repeated)
+    if first is None or every is None:
+        return df
+    # The first key alone settles most rows, and later keys may cost more to make.
+    contested = first(keys[0]) & every(*keys)
+    return df.filter(~contested).unionByName(best_per_key(df.filter(contested), keys, order))
+
+
 def dedup_keep_null_ids(df: DataFrame, record_id: str, order: list[Column]) -> DataFrame:
     """First record per id; every record without an id stays."""
     known = best_per_key(df.filter(F.col(record_id).isNotNull()), [record_id], order)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobweave.functions.salary import midpoint_strict
-from jobweave.operators.dedup import best_per_key
+from jobweave.operators.dedup import best_per_key, best_wide_per_key
 from jobweave.sources.raw_zone import path_date
 
 POSTING_GRAIN = ["job_id", "ingestion_date"]
@@ -42,7 +42,7 @@ def stg_jobs(raw: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     The posting time is UTC by contract, so it is kept without a zone and its
     day does not depend on the session.
     """
-    latest = best_per_key(
+    latest = best_wide_per_key(
         raw.filter(F.col("job_id").isNotNull()).withColumn("ingestion_date", path_date("_file_path")),
         POSTING_GRAIN,
         newest_record(raw),
