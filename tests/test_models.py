@@ -89,3 +89,56 @@ def test_ties_of_one_file_do_not_depend_on_chance(spark, sf_dir):
     raw = raw.withColumn("_file_path", F.lit("/raw/ingestion_date=2024-01-01/query=q/data.json")).withColumn("job_id", F.lit("1"))
     both = [staging.stg_jobs(raw.repartition(n).sortWithinPartitions(F.rand(n))).collect() for n in (1, 7)]
     assert len(both[0]) == 1 and both[0] == both[1]
+
+
+def _rows_of(spark, n):
+    """Postings of n jobs on three days; every tenth job has a second record on the last day, the older one is other."""
+    df = spark.range(n).select(
+        F.col("id").cast("string").alias("job_id"),
+        F.explode(F.expr("if(id % 10 = 0, array(1, 2, 3, 4), array(1, 2, 3))")).alias("v"),
+    )
+    day = F.concat(F.lit("/raw/ingestion_date=2024-01-0"), F.least("v", F.lit(3)).cast("string"), F.lit("/query=q/data.json"))
+    known = {
+        "job_description": F.concat(F.lit("Python "), F.when(F.col("v") >= 3, "and SQL "), F.repeat(F.md5("job_id"), 30)),
+        "_file_path": day,
+        "_file_modified_at": F.expr("timestamp_ntz'2024-01-05' + make_dt_interval(0, 0, v)"),
+    }
+    blank = [F.lit(None).cast(f.dataType).alias(f.name) for f in schemas.POSTING.fields if f.name not in ("job_id", "job_description")]
+    return df.withColumns(known).select("job_id", *known, *blank)
+
+
+def test_staging_hands_on_rows_alone_with_their_key(spark):
+    """Rows alone with their key are not shuffled for a choice; the others give what the window over all gives."""
+    from jobweave.operators.dedup import best_per_key
+    from jobweave.sources.raw_zone import path_date
+
+    raw = _rows_of(spark, 500)
+    stg = staging.stg_jobs(raw)
+    whole = best_per_key(raw.withColumn("ingestion_date", path_date("_file_path")), staging.POSTING_GRAIN, staging.newest_record(raw))
+    wanted = whole.select("job_id", "ingestion_date", F.col("_file_modified_at").alias("_ingested_at"))
+    assert rows(stg.select("job_id", "ingestion_date", "_ingested_at")) == rows(wanted) and stg.count() == 1500
+    assert "Union" in stg._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_enriched_jobs_shuffle_no_text(spark):
+    stg = staging.stg_jobs(_rows_of(spark, 500)).localCheckpoint()
+    jobs = intermediate.int_jobs_enriched(stg)
+    plan = jobs._jdf.queryExecution().optimizedPlan().toString()
+    above = plan[: plan.index("Window")]
+    assert "description" not in above
+    below = plan[plan.index("Window") :].splitlines()[1]
+    assert "description" not in below.split("AS")[0]
+    found = jobs.select("job_id", "skill_python", "skill_sql", "days_active", "first_seen_at", "last_seen_at").collect()
+    assert len(found) == 500 and all(r.skill_python == 1 and r.skill_sql == 1 for r in found)
+    assert all(r.last_seen_at.minute == (4 if int(r.job_id) % 10 == 0 else 3) for r in found)
+
+
+def test_marks_hold_for_every_marked_key(spark):
+    from jobweave.operators.dedup import marks
+
+    keys_ = spark.range(0, 30000, 3).select(F.col("id").cast("string").alias("k"))
+    marked = marks(keys_)
+    assert keys_.filter(marked("k")).count() == 10000
+    others = spark.range(20000).select(F.col("id").cast("string").alias("k")).join(keys_, "k", "left_anti")
+    assert others.filter(marked("k")).count() < 0.2 * others.count()
+    assert marks(keys_.limit(0)) is None
