@@ -27,6 +27,7 @@ import regex
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from jobweave.llm.common import bound_batches, flush_every, map_batches, stage, unstage
 from jobweave.session import ship_package
@@ -36,6 +37,8 @@ COMMON_WORDS = 1 << 17
 SAMPLE_ROWS = 20_000
 # Words are looked up in so many passes.
 PASSES = 4
+# A stored row takes texts until it has so many words.
+ROW_WORDS = 1 << 15
 # Longer words are merged by a heap in a task: the fold's work grows with the square of the length.
 FOLD_BYTES = 64
 _RANKS = 1 << 20
@@ -142,30 +145,37 @@ def fold_merges(word: Column, vocabulary: Vocabulary) -> Column:
     # Bytes as Latin-1 signs, whose codes are the bytes.
     start = F.transform(F.split(F.decode(word, "ISO-8859-1"), ""), lambda sign: F.get(byte_ids, F.ascii(sign)))
 
-    def rank(a: Column, b: Column) -> Column:
-        """The rank of the merge of two ids; without one a number above all ranks, or null."""
-        slot = F.get(slots, F.get(offsets, a) + b)
-        return slot.bitwiseXOR(F.shiftleft(a.cast("bigint"), _RANKS.bit_length() - 1))
+    def folded(offsets: Column, slots: Column) -> Column:
+        def rank(a: Column, b: Column) -> Column:
+            """The rank of the merge of two ids; without one a number above all ranks, or null."""
+            slot = F.get(slots, F.get(offsets, a) + b)
+            return slot.bitwiseXOR(F.shiftleft(a.cast("bigint"), _RANKS.bit_length() - 1))
 
-    def step(state: Column, _: Column) -> Column:
-        ids = state["ids"]
+        def begun(ids: Column) -> Column:
+            # Rank k is that of the ids k - 1 and k; the first and the last have one neighbour only and are null.
+            before, after = F.concat(F.array(F.lit(None).cast("int")), ids), F.concat(ids, F.array(F.lit(None).cast("int")))
+            return F.struct(ids.alias("ids"), F.zip_with(before, after, rank).alias("ranks"), (F.size(ids) > 1).alias("open"))
+
+        def step(state: Column, _: Column) -> Column:
+            ids, ranks = state["ids"], state["ranks"]
 
-        def merged(ranks: Column) -> Column:
             def at_lowest(low: Column) -> Column:
-                at = F.array_position(ranks, low).cast("int")
-                joined = F.concat(F.slice(ids, F.lit(1), at - 1), F.array(low.cast("int")), F.slice(ids, at + 2, F.size(ids)))
-                return F.when(low < _RANKS, F.struct(joined.alias("ids"), (F.size(ids) > 2).alias("open"))).otherwise(
-                    F.struct(ids.alias("ids"), F.lit(False).alias("open"))
-                )
+                at, new = F.array_position(ranks, low).cast("int"), low.cast("int")
+                # A merge changes the ranks of its two neighbours alone.
+                beside = F.array(rank(F.get(ids, at - 3), new), rank(new, F.get(ids, at)))
+                joined = F.concat(F.slice(ids, F.lit(1), at - 2), F.array(new), F.slice(ids, at + 1, F.size(ids)))
+                ranked = F.concat(F.slice(ranks, F.lit(1), at - 2), beside, F.slice(ranks, at + 2, F.size(ids)))
+                return F.when(
+                    low < _RANKS, F.struct(joined.alias("ids"), ranked.alias("ranks"), (F.size(ids) > 2).alias("open"))
+                ).otherwise(F.struct(ids.alias("ids"), ranks.alias("ranks"), F.lit(False).alias("open")))
 
-            return _let(F.array_min(ranks), at_lowest)
+            return F.when(state["open"], _let(F.array_min(ranks), at_lowest)).otherwise(state)
 
-        ranks = F.zip_with(ids, F.slice(ids, F.lit(2), F.size(ids)), rank)
-        return F.when(state["open"], _let(ranks, merged)).otherwise(state)
+        steps = F.sequence(F.lit(1), F.greatest(F.octet_length(word) - 1, F.lit(1)))
+        return F.aggregate(steps, _let(start, begun), step, lambda state: state["ids"])
 
-    first = F.struct(start.alias("ids"), (F.octet_length(word) > 1).alias("open"))
-    steps = F.sequence(F.lit(1), F.greatest(F.octet_length(word) - 1, F.lit(1)))
-    return F.aggregate(steps, first, step, lambda state: state["ids"])
+    # Bound once, so that each literal is in the plan once.
+    return _let(offsets, lambda o: _let(slots, lambda s: folded(o, s)))
 
 
 def splitter(pattern: str) -> Callable[[str], list[str]]:
@@ -290,7 +300,7 @@ class CommonWords:
 
 
 class Codes(dict):
-    """Numbers of words: the common ones, and for a document's other words new ones from ``_OWN`` upwards."""
+    """Numbers of words: the common ones, and for a stored row's other words new ones from ``_OWN`` upwards."""
 
     def __init__(self, common: dict[str, int]):
         super().__init__(common)
@@ -302,7 +312,7 @@ class Codes(dict):
         return code
 
     def of(self, words: list[str]) -> tuple[np.ndarray, list[str]]:
-        """The code of each word of a document, and its own words in the order of their codes."""
+        """The code of each word of a stored row, and its own words in the order of their codes."""
         codes = np.array(list(map(self.__getitem__, words)), dtype=np.uint32)
         own, self.own = self.own, []
         for word in own:
@@ -319,15 +329,22 @@ def from_planes(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").ravel()
 
 
-def gathered(flat: np.ndarray, ends: np.ndarray, which: np.ndarray) -> np.ndarray:
-    """The pieces ``which`` in a row; piece k is ``flat[ends[k] : ends[k + 1]]``."""
+def gathered(flat: np.ndarray, ends: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pieces ``which`` in a row, and where each ends; piece k is ``flat[ends[k] : ends[k + 1]]``."""
     sizes = (ends[1:] - ends[:-1])[which]
     behind = np.cumsum(sizes)
     shift = ends[which] - (behind - sizes)
-    return flat[np.repeat(shift, sizes) + np.arange(behind[-1] if len(behind) else 0)]
+    return flat[np.repeat(shift, sizes) + np.arange(behind[-1] if len(behind) else 0)], behind
+
 
+def binaries(data: pa.Buffer, ends: np.ndarray) -> pa.Array:
+    """Cuts of a buffer as binary values; value k is ``data[ends[k] : ends[k + 1]]``."""
+    if ends[-1] >= 1 << 31:
+        raise ValueError("a batch of binary values must be below 2 GB")
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(ends.astype(np.int32)), data])
 
-# Codes of a document's own words start here.
+
+# Codes of a stored row's own words start here.
 _OWN = 1 << 31
 # Marks the last id of a word.
 _LAST = np.uint32(1 << 31)
@@ -403,9 +420,10 @@ def encode_packed(
     separately; no special tokens. Null and empty texts have no ids. Whole texts
     are encoded, words of any length exactly.
 
-    A text is split once. It is stored as codes of its words, with its own
-    words, those that aren't common, beside them. Rows are numbered when they are
-    stored, so ids of documents play no part: they may be null or repeat.
+    A text is split once. Texts are stored several to a row, as codes of their
+    words, with the row's own words, those that aren't common, beside them. Rows are
+    numbered when they are stored, so ids of documents play no part: they may be
+    null or repeat.
     """
     spark = docs.sparkSession
     ship_package(spark)
@@ -416,21 +434,34 @@ def encode_packed(
     common = named.toArrow().sort_by([("n", "descending"), ("word", "ascending")])
     named = named.select("word")
     split_words = spark.sparkContext.broadcast(CommonWords(common))
-    coded_type = "struct<codes: binary, own: array<binary>>"
-    coded_schema = pa.struct([("codes", pa.binary()), ("own", pa.list_(pa.binary()))])
+    fields = [T.StructField(f"_k{i}", docs.schema[c].dataType) for i, c in enumerate(keep)]
+    rows_type = T.ArrayType(T.StructType([*fields, T.StructField("_words", T.IntegerType())]))
+    coded_type = T.StructType().add("rows", rows_type).add("codes", "binary").add("own", T.ArrayType(T.BinaryType()))
 
-    @F.arrow_udf(coded_type)
-    def coded(values: pa.Array) -> pa.Array:
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find, table, pack = split(pattern), split_words.value.codes, zstandard.ZstdCompressor(1).compress
-        rows = []
-        for value in values:  # one text at a time: some are very long
-            words, own = table.of(find(value.as_py()) if value.is_valid else [])
-            rows.append({"codes": pack(as_planes(words)), "own": [w.encode() for w in own]})
-        return pa.array(rows, coded_schema)
-
-    numbered = docs.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)], coded(F.col(text)).alias("_coded"))
-    numbered = numbered.withColumn("_row", F.monotonically_increasing_id())
-    coded_texts = stage(numbered.select("*", "_coded.*").drop("_coded"), "bpe-coded")
+        for batch in batches:
+            words, sizes, first, *kept = [], [], 0, *batch.columns[:-1]
+            for i, value in enumerate(batch.columns[-1]):  # one text at a time: some are very long
+                found = find(value.as_py()) if value.is_valid else []
+                words += found
+                sizes.append(len(found))
+                if len(words) < ROW_WORDS and i + 1 < batch.num_rows:
+                    continue
+                rows = [*(c.slice(first, len(sizes)) for c in kept), pa.array(sizes, pa.int32())]
+                rows = pa.StructArray.from_arrays(rows, names=rows_type.elementType.names)
+                codes, own = table.of(words)
+                columns = [
+                    pa.ListArray.from_arrays(pa.array([0, len(sizes)], pa.int32()), rows),
+                    pa.array([pack(as_planes(codes))], pa.binary()),
+                    pa.array([[w.encode() for w in own]], pa.list_(pa.binary())),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=coded_type.names)
+                words, sizes, first = [], [], i + 1
+
+    given = docs.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)], F.col(text).alias("_text"))
+    numbered = map_batches(given, coded, coded_type).withColumn("_row", F.monotonically_increasing_id())
+    coded_texts = stage(numbered, "bpe-coded")
     # Apart, so that the words go after their last reader and aren't stored beside the codes' shuffle.
     own_words = stage(coded_texts.filter(F.size("own") > 0).select("_row", "own"), "bpe-own")
     texts = stage(coded_texts.drop("own"), "bpe-texts")
@@ -456,25 +487,30 @@ def encode_packed(
     unstage(*found)
     lists = reduce(DataFrame.union, lists)
 
-    @F.arrow_udf("binary")
-    def looked_up(codes: pa.Array, own: pa.Array) -> pa.Array:
+    left = [i for i, c in enumerate(keep) if c != ids]
+    names = [*(keep[i] for i in left), ids]
+
+    def looked_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flat, ends, unpack = *shared.value.ids, zstandard.ZstdDecompressor().decompress
-        out = []
-        for packed_codes, packed_own in zip(codes.to_pylist(), own.to_pylist()):
-            which = from_planes(unpack(packed_codes)).astype(np.int64)
-            if packed_own:
-                rest = np.frombuffer(packed_own, "<u4")
-                cuts = np.flatnonzero(rest & _LAST) + 1
-                which = np.where(which >= _OWN, which - _OWN + len(ends) - 1, which)
-                ids = gathered(np.concatenate((flat, rest & ~_LAST)), np.concatenate((ends, ends[-1] + cuts)), which)
-            else:
-                ids = gathered(flat, ends, which)
-            out.append(ids.astype("<u4").tobytes())
-        return pa.array(out, pa.binary())
-
-    joined = texts.join(lists, "_row", "left").withColumn("_ids", looked_up(F.col("codes"), F.col("own_ids")))
-    kept = [F.col(f"_k{i}").alias(c) for i, c in enumerate(keep) if c != ids]
-    return joined.select(*kept, F.col("_ids").alias(ids))
+        for batch in batches:
+            for i in range(batch.num_rows):
+                rows, codes, own = batch["rows"].slice(i, 1).flatten().flatten(), batch["codes"][i], batch["own_ids"][i]
+                which = from_planes(unpack(codes.as_py())).astype(np.int64)
+                if own.is_valid:
+                    rest = np.frombuffer(own.as_py(), "<u4")
+                    cuts = np.flatnonzero(rest & _LAST) + 1
+                    which = np.where(which >= _OWN, which - _OWN + len(ends) - 1, which)
+                    found, behind = gathered(np.concatenate((flat, rest & ~_LAST)), np.concatenate((ends, ends[-1] + cuts)), which)
+                else:
+                    found, behind = gathered(flat, ends, which)
+                # Where the ids of each text end follows from how many words it has.
+                text_ends = np.concatenate(([0], behind))[np.cumsum([0, *rows[-1].to_pylist()])]
+                columns = [*(rows[k] for k in left), binaries(pa.py_buffer(found.astype("<u4")), 4 * text_ends)]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    out_type = T.StructType([T.StructField(keep[i], fields[i].dataType) for i in left]).add(ids, "binary")
+    joined = texts.join(lists, "_row", "left").select("rows", "codes", "own_ids")
+    return map_batches(joined, looked_up, out_type)
 
 
 def decode_packed(ids: Column, vocabulary: Vocabulary) -> Column:
@@ -483,8 +519,13 @@ def decode_packed(ids: Column, vocabulary: Vocabulary) -> Column:
 
     @F.arrow_udf("binary")
     def joined(rows: pa.Array) -> pa.Array:
-        table = np.array([*pieces, b""], dtype=object)[:-1]
-        return pa.array([b"".join(table[np.frombuffer(row, "<u4")]) for row in rows.to_pylist()], pa.binary())
+        ends = np.cumsum([0, *pc.binary_length(rows).to_pylist()]) // 4
+        flat = np.frombuffer(b"".join(rows.to_pylist()), "<u4")
+        taken = pa.array(pieces, pa.large_binary()).take(pa.array(flat))
+        if not len(taken):
+            return binaries(pa.py_buffer(b""), ends)
+        _, starts, data = taken.buffers()
+        return binaries(data, np.frombuffer(starts, np.int64)[ends])
 
     return joined(ids)
 
