@@ -30,7 +30,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from jobweave.llm.common import bound_batches, flush_every, map_batches, stage, unstage
-from jobweave.session import ship_package
+from jobweave.session import scratch_path, ship_package
+from jobweave.sources.tables import write_files
 
 COMMON_WORDS = 1 << 17
 # Documents whose words say which are common.
@@ -278,7 +279,9 @@ def common_part(docs: DataFrame, text: str, pattern: str, limit: int, sample_row
         if total > limit:
             break
         lowest = cls
-    return short.filter(F.col("class") >= lowest).select("word", "n")
+    common = stage(short.filter(F.col("class") >= lowest).select("word", "n"), "bpe-common")
+    unstage(short)
+    return common
 
 
 class CommonWords:
@@ -403,6 +406,16 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, pattern: str, text: str = "t
     return encode_packed(docs, vocabulary, pattern, text, ids, **search).withColumn(ids, unpacked(F.col(ids)))
 
 
+def stage_parts(numbered: DataFrame, label: str, parts: int) -> dict[int, DataFrame]:
+    """The rows of ``numbered`` by ``_row`` modulo ``parts``, written at once; each part is a stage table of its own."""
+    spark, path = numbered.sparkSession, scratch_path(numbered.sparkSession, label)
+    dealt = numbered.withColumn("_part", F.pmod("_row", F.lit(parts)))
+    write_files(dealt, path, partition_by=["_part"], codec="snappy")
+    stored = spark.read.schema(dealt.schema).parquet(path)
+    present = {r["_part"] for r in stored.select("_part").distinct().collect()}
+    return {k: spark.read.schema(numbered.schema).parquet(f"{path}/_part={k}") for k in sorted(present)} or {0: stored.drop("_part")}
+
+
 def encode_packed(
     docs: DataFrame,
     vocabulary: Vocabulary,
@@ -429,7 +442,7 @@ def encode_packed(
     ship_package(spark)
     bound_batches(spark)
     keep = docs.columns if keep is None else keep
-    named = stage(common_part(docs, text, pattern, common_words, sample_rows), "bpe-common")
+    named = common_part(docs, text, pattern, common_words, sample_rows)
     # The commonest words get the smallest codes.
     common = named.toArrow().sort_by([("n", "descending"), ("word", "ascending")])
     named = named.select("word")
@@ -461,13 +474,10 @@ def encode_packed(
 
     given = docs.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)], F.col(text).alias("_text"))
     numbered = map_batches(given, coded, coded_type).withColumn("_row", F.monotonically_increasing_id())
-    coded_texts = stage(numbered, "bpe-coded")
-    # Apart, so that the words go after their last reader and aren't stored beside the codes' shuffle.
-    own_words = stage(coded_texts.filter(F.size("own") > 0).select("_row", "own"), "bpe-own")
-    texts = stage(coded_texts.drop("own"), "bpe-texts")
-    unstage(coded_texts)
+    # One folder for each pass, so that a pass's rows go when its texts have their words' ids.
+    parts = stage_parts(numbered, "bpe-coded", PASSES)
 
-    asked = own_words.select("_row", F.posexplode("own").alias("slot", "word"))
+    asked = reduce(DataFrame.union, parts.values()).select("_row", F.posexplode("own").alias("slot", "word"))
     encoded = stage(encoded_words(asked.select("word").union(named).distinct(), vocabulary), "bpe-words")
     # In the order of their codes, which is that of ``common``.
     table = encoded.join(named, "word", "left_semi").toArrow()
@@ -478,14 +488,16 @@ def encode_packed(
     for k in range(PASSES):  # each pass frees its shuffle
         some = asked.filter(F.pmod(F.xxhash64("word"), F.lit(PASSES)) == k).join(encoded, "word")
         found.append(stage(some.select("_row", "slot", "ids"), f"bpe-found-{k}"))
-    unstage(encoded, named, own_words)
-    lists = []
-    for k in range(PASSES):
+    unstage(encoded, named)
+    texts = []
+    for k, part in parts.items():
         some = reduce(DataFrame.union, found).filter(F.pmod("_row", F.lit(PASSES)) == k)
         own = some.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("slot", "ids"))).alias("own"))
-        lists.append(stage(own.select("_row", joined_pieces(F.col("own.ids")).alias("own_ids")), f"bpe-lists-{k}"))
+        lists = own.select("_row", joined_pieces(F.col("own.ids")).alias("own_ids"))
+        joined = part.select("_row", "rows", "codes").join(lists, "_row", "left")
+        texts.append(stage(joined.select("rows", "codes", "own_ids"), f"bpe-texts-{k}"))
+        unstage(part)
     unstage(*found)
-    lists = reduce(DataFrame.union, lists)
 
     left = [i for i, c in enumerate(keep) if c != ids]
     names = [*(keep[i] for i in left), ids]
@@ -509,8 +521,7 @@ def encode_packed(
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     out_type = T.StructType([T.StructField(keep[i], fields[i].dataType) for i in left]).add(ids, "binary")
-    joined = texts.join(lists, "_row", "left").select("rows", "codes", "own_ids")
-    return map_batches(joined, looked_up, out_type)
+    return map_batches(reduce(DataFrame.union, texts), looked_up, out_type)
 
 
 def decode_packed(ids: Column, vocabulary: Vocabulary) -> Column:
