@@ -105,6 +105,21 @@ def bounded(terms: list[str]) -> str:
     return f"(^|[^{WORD_CHARS}])({words})([^{WORD_CHARS}]|$)"
 
 
+def standing(term: str) -> str:
+    """Java pattern that finds a term where ``bounded`` does, in a fraction of the time.
+
+    It begins with the term itself, so most places of a text fail at their first
+    sign; what stands around it is looked at only where the term occurs.
+    """
+    word = term.replace("+", r"\+")
+    return f"{word}(?![{WORD_CHARS}])(?<![{WORD_CHARS}]{word})"
+
+
+def least_terms(terms: list[str]) -> list[str]:
+    """The terms without those in which another one stands alone: where such a term occurs, the other one does."""
+    return [t for t in terms if not any(u != t and re.search(bounded([u]), t) for u in terms)]
+
+
 def skill_flag(text: Column | str, terms: list[str], lowered: bool = False) -> Column:
     """1 when any term occurs in the text, else 0; a null text gives 0.
 
@@ -114,8 +129,8 @@ def skill_flag(text: Column | str, terms: list[str], lowered: bool = False) -> C
     """
     low = as_col(text) if lowered else F.lower(as_col(text))
     found = F.lit(False)
-    for term in (t.lower() for t in terms):
-        found = found | (low.contains(term) & low.rlike(bounded([term])))
+    for term in least_terms([t.lower() for t in terms]):
+        found = found | (low.contains(term) & low.rlike(standing(term)))
     return F.coalesce(found, F.lit(False)).cast("int")
 
 
@@ -129,30 +144,48 @@ def _owners(skills: dict[str, list[str]]) -> dict[str, list[str]]:
 
 
 def with_found_skills(
-    df: DataFrame, text: str, name: str, skills: dict[str, list[str]] | None = None
+    df: DataFrame,
+    text: str,
+    name: str,
+    skills: dict[str, list[str]] | None = None,
+    also: dict[str, dict[str, list[str]]] | None = None,
 ) -> DataFrame:
-    """Add the names of all skills in the text as an array; the text is split once."""
-    owners = _owners(skills or SKILL_TERMS)
+    """Add the names of all skills in the text as an array; ``also`` gives further columns and their skills.
+
+    The text is split once, whatever the number of columns.
+    """
+    lists = {name: _owners(skills or SKILL_TERMS), **{column: _owners(more) for column, more in (also or {}).items()}}
+    heads = {column: _heads(owners) for column, owners in lists.items()}
+    words = list(dict.fromkeys(word for found in heads.values() for word in found[0]))
+    df = df.withColumn("_low", F.lower(as_col(text))).withColumn(
+        "_words", F.expr(f"array_intersect(split(_low, {_sql(f'[^{WORD_CHARS}]+')}), {_sql_array(words)})")
+    )
+    columns = {c: F.expr(_found_names(owners, *heads[c], only=len(lists) > 1)) for c, owners in lists.items()}
+    return df.withColumns(columns).drop("_low", "_words")
+
+
+def _heads(owners: dict[str, list[str]]) -> tuple[list[str], dict[str, str]]:
+    """(the words that are terms or begin one, the first word of each phrase)."""
     phrases = {t: _WORD.search(t).group() for t in owners if not _WORD.fullmatch(t)}
     for term, head in phrases.items():
         if not term.startswith(head):
             raise ValueError(f"a term must start with a word character: {term!r}")
-    words = list(dict.fromkeys([t for t in owners if t not in phrases] + list(phrases.values())))
-    df = df.withColumn("_low", F.lower(as_col(text))).withColumn(
-        "_words", F.expr(f"array_intersect(split(_low, {_sql(f'[^{WORD_CHARS}]+')}), {_sql_array(words)})")
-    )
+    return list(dict.fromkeys([t for t in owners if t not in phrases] + list(phrases.values()))), phrases
+
+
+def _found_names(owners: dict[str, list[str]], words: list[str], phrases: dict[str, str], only: bool) -> str:
+    """SQL of the skills found, from ``_words`` and ``_low``; ``only`` if there are words of other lists, too."""
     checks = [
         f"if(array_contains(_words, {_sql(head)}) and contains(_low, {_sql(t)}) "
-        f"and _low rlike {_sql(bounded([t]))}, {_sql(t)}, null)"
+        f"and _low rlike {_sql(standing(t))}, {_sql(t)}, null)"
         for t, head in phrases.items()
     ]
-    terms = f"concat(_words, array_compact(array({', '.join(checks)})))" if checks else "_words"
+    known = f"array_intersect(_words, {_sql_array(words)})" if only else "_words"
+    terms = f"concat({known}, array_compact(array({', '.join(checks)})))" if checks else known
     # a first word that is no term of its own has no entry
     pairs = ", ".join(f"{_sql(t)}, {_sql_array(names)}" for t, names in owners.items())
     names = f"transform({terms}, t -> coalesce(element_at(map({pairs}), t), array()))"
-    return df.withColumn(
-        name, F.expr(f"coalesce(array_distinct(flatten({names})), cast(array() as array<string>))")
-    ).drop("_low", "_words")
+    return f"coalesce(array_distinct(flatten({names})), cast(array() as array<string>))"
 
 
 def _sql(text: str) -> str:

@@ -230,8 +230,7 @@ _columns("c5_skill_flag", "postings", {
 )
 def c6(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = inputs.postings(spark, sf_dir).select("ingest_seq", "job_description")
-    df = skills.with_found_skills(df, "job_description", "_skills")
-    df = skills.with_found_skills(df, "job_description", "_words_found", TEXT_TERMS)
+    df = skills.with_found_skills(df, "job_description", "_skills", also={"_words_found": TEXT_TERMS})
     return df.select(
         "ingest_seq", F.size("_skills").alias("skill_count"), F.size("_words_found").alias("word_count")
     )

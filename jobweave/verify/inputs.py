@@ -93,17 +93,18 @@ STACK = (
 )
 
 
+def _deal(orders: DataFrame, sf_dir: str, *by: str) -> DataFrame:
+    """As many partitions as there are data, not as there are cores: a driver table is one file with one row group and so one task."""
+    if (sf_dir, "orders") not in _counts:
+        _counts[sf_dir, "orders"] = table(orders.sparkSession, sf_dir, "orders").count()
+    return orders.repartition(-(-_counts[sf_dir, "orders"] // ORDERS_A_PARTITION) or 1, *by)
+
+
 def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with place, part and numbering; unused joins carry few columns."""
     part = table(spark, sf_dir, "part")
     parts = part.select(F.count("*")).scalar()
-    # A driver table is one file with one row group and so one task. Orders are narrow but become long
-    # texts, so they are dealt by their number, as many partitions as there are data, not as there are cores.
-    orders = table(spark, sf_dir, "orders")
-    if (sf_dir, "orders") not in _counts:
-        _counts[sf_dir, "orders"] = orders.count()
-    orders = orders.repartition(-(-_counts[sf_dir, "orders"] // ORDERS_A_PARTITION) or 1)
-    orders = orders.withColumns(
+    orders = table(spark, sf_dir, "orders").withColumns(
         {
             "_part": F.col("o_orderkey") % parts,
             "day": F.col("o_orderdate").cast("date") + F.expr(f"make_dt_interval({DAY_SHIFT})"),
@@ -164,7 +165,9 @@ def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
             "_doc": F.col("o_orderkey") % documents.select(F.count("*")).scalar(),
         }
     )
-    df = df.join(employer, F.col("_employer") == F.col("_employer_no")).join(
+    # Orders are narrow but become long texts, so they are dealt for the join that adds the texts: by its own
+    # exchange they would come in few partitions, sized by what is shuffled and not by the texts.
+    df = _deal(df.join(employer, F.col("_employer") == F.col("_employer_no")), sf_dir, "_doc").join(
         documents, F.col("_doc") == F.col("doc_id")
     )
     key = F.col("o_orderkey")
@@ -254,7 +257,7 @@ def estimates(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .otherwise(F.concat(city, F.lit(", "), _pick(*SHORT_COUNTRY)))
     )
-    return _base(spark, sf_dir).select(
+    return _deal(_base(spark, sf_dir), sf_dir).select(
         place.alias("location"),
         _pick(*ESTIMATED_ROLE).alias("job_title"),
         (total * 0.8).alias("min_salary"),
