@@ -29,9 +29,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from jobweave.llm.common import bound_batches, flush_every, map_batches, stage, unstage
+from jobweave.llm.common import bound_batches, flush_every, map_batches, unstage
 from jobweave.session import scratch_path, ship_package
-from jobweave.sources.tables import write_files
+from jobweave.sources.tables import stage, write_files
 
 COMMON_WORDS = 1 << 17
 # Documents whose words say which are common.
@@ -403,7 +403,7 @@ def stage_parts(numbered: DataFrame, label: str, parts: int) -> dict[int, DataFr
     """The rows of ``numbered`` by ``_row`` modulo ``parts``, written at once; each part is a stage table of its own."""
     spark, path = numbered.sparkSession, scratch_path(numbered.sparkSession, label)
     dealt = numbered.withColumn("_part", F.pmod("_row", F.lit(parts)))
-    write_files(dealt, path, partition_by=["_part"], codec="snappy")
+    write_files(dealt, path, partition_by=["_part"])
     stored = spark.read.schema(dealt.schema).parquet(path)
     present = {r["_part"] for r in stored.select("_part").distinct().collect()}
     return {k: spark.read.schema(numbered.schema).parquet(f"{path}/_part={k}") for k in sorted(present)} or {0: stored.drop("_part")}
