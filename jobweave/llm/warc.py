@@ -24,8 +24,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import (
     DataSource,
+    DataSourceArrowWriter,
     DataSourceReader,
-    DataSourceWriter,
     EqualTo,
     Filter,
     In,
@@ -36,6 +36,7 @@ from pyspark.sql.datasource import (
 from pyspark.sql.types import StructType
 
 from jobweave.llm.common import stage
+from jobweave.operators.dedup import marks
 from jobweave.session import scratch_path, ship_package
 
 # Rows of this schema are written; reading gives the same columns.
@@ -45,6 +46,8 @@ SCHEMA = (
 )
 ROLL_BYTES = 64 << 20
 BATCH_BYTES = 8 << 20
+# What Spark hands to a Python worker at once; by rows alone, 10,000 payloads are held by the executor and the worker.
+_BATCHES = "spark.sql.execution.arrow.maxBytesPerBatch"
 _HEADERS = {
     "record_id": "WARC-Record-ID",
     "record_type": "WARC-Type",
@@ -59,6 +62,7 @@ _ENCODED = "X-Percent-Encoded"
 # A date is required in every record; archives here are made of tables, so it is fixed and files are reproducible.
 _DATE = "2000-01-01T00:00:00Z"
 _MEMBER_HEAD = 24
+_ROWS = 64
 _STEP = 1024
 _SHORT = pa.schema(
     [(c, pa.string()) for c in ("record_id", "record_type", "target_uri", "payload_digest", "refers_to")]
@@ -108,17 +112,18 @@ class Written(WriterCommitMessage):
     files: list[str]
 
 
-class WarcWriter(DataSourceWriter):
+class WarcWriter(DataSourceArrowWriter):
     """Each task attempt writes files of its own; the commit lists those that count in a manifest."""
 
     def __init__(self, path: str):
         self.path = path
 
-    def write(self, rows) -> Written:
+    def write(self, batches: Iterator[pa.RecordBatch]) -> Written:
         system, root = split_path(self.path)
         system.create_dir(root, recursive=True)
         files, out, size = [], None, 0
-        for row in rows:
+        # Few rows at a time become Python objects.
+        for row in (row for batch in batches for i in range(0, len(batch), _ROWS) for row in batch.slice(i, _ROWS).to_pylist()):
             if out is None or size >= ROLL_BYTES:
                 if out is not None:
                     out.close()
@@ -222,9 +227,18 @@ def http_length(lines: list[bytes]) -> int | None:
     return None
 
 
+def _two_ahead(stream: io.BufferedReader) -> bytes:
+    """The next two bytes, which stay; one or none at the end. A peek gives a single byte if no more are buffered."""
+    if len(start := stream.peek(2)[:2]) < 2:
+        at = stream.tell()
+        start = stream.read(2)
+        stream.seek(at)
+    return start
+
+
 def read_records(stream: io.BufferedReader, wanted: dict[str, set], payload: bool) -> Iterator[dict]:
     """Records whose headers pass; ``payload`` says whether payloads are decoded or skipped."""
-    while start := stream.peek(2)[:2]:
+    while start := _two_ahead(stream):
         if start == b"\x1f\x8b":
             row = _read_member(stream, wanted, payload)
         elif start.strip():
@@ -341,14 +355,23 @@ def page_records(pages: DataFrame, page_id: str = "page_id", url: str = "url", h
     Null html is an empty payload. A null id is written as ``none`` and revisits
     the smallest id of its payload; where all ids are null, all are responses.
     Rows that repeat the smallest id are responses too. A null url leaves the
-    header out. Payloads are equal if SHA-1 and length are.
+    header out. Payloads are equal if SHA-1 and length are. Only payloads that
+    surely or perhaps come again are shuffled; the pages are read twice more.
     """
     body = F.coalesce(F.col(html), F.lit("")).cast("binary")
     rows = pages.select(F.col(page_id).cast("long").alias("id"), F.col(url).alias("target_uri"), body.alias("payload"))
     rows = rows.withColumns({"sha1": F.sha1("payload"), "payload_bytes": F.octet_length("payload").cast("long")})
     # The digests travel; of a payload that a third of all pages have, each task sends one row.
     low = rows.groupBy("sha1", "payload_bytes").agg(F.min("id").alias("low"), F.count("*").alias("n")).filter("n > 1")
-    first = rows.join(low.select("sha1", "payload_bytes", "low"), ["sha1", "payload_bytes"], "left")
+    low = stage(low.select("sha1", "payload_bytes", "low"), "warc-repeated")
+    repeated = marks(low.select("sha1", "payload_bytes"))
+    alone = F.lit(None).cast("long").alias("low")
+    if repeated is None:
+        first = rows.select("*", alone)
+    else:
+        again = repeated("sha1", "payload_bytes")
+        joined = rows.filter(again).join(low, ["sha1", "payload_bytes"], "left")
+        first = rows.filter(~again).select("*", alone).unionByName(joined)
     response = F.col("low").isNull() | F.coalesce(F.col("id") == F.col("low"), F.lit(False))
     urn = lambda c: F.concat(F.lit("urn:page:"), F.coalesce(c.cast("string"), F.lit("none")))
     return first.select(
@@ -367,7 +390,12 @@ def write_pages(pages: DataFrame, path: str | None = None, **names: str) -> str:
     spark = pages.sparkSession
     register(spark)
     path = path or scratch_path(spark, "warc")
-    page_records(pages, **names).write.format("warc").option("path", path).mode("append").save()
+    before = spark.conf.get(_BATCHES, None)
+    spark.conf.set(_BATCHES, str(BATCH_BYTES))
+    try:
+        page_records(pages, **names).write.format("warc").option("path", path).mode("append").save()
+    finally:
+        spark.conf.set(_BATCHES, before) if before is not None else spark.conf.unset(_BATCHES)
     return path
 
 
