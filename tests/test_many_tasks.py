@@ -1,10 +1,12 @@
-"""What the driver holds stays small: partitions, marks, join keys without subqueries."""
+"""What the driver holds stays small: partitions, marks, join keys without subqueries, files known without another read."""
 
 import datetime
 
 from pyspark.sql import functions as F
 
 from jobweave.operators import dedup
+from jobweave.plans import update
+from jobweave.sources.change_table import ChangeTable
 from jobweave.verify import inputs
 
 
@@ -46,3 +48,14 @@ def test_repeated_keys_are_counted_on_the_narrow_rows(spark):
     assert sorted(map(tuple, dedup.best_wide_per_key(rows, ["k"], order, rows.select("k")).collect())) == [(1, "b"), (2, "c")]
     # Narrow rows without a repeated key: nothing is chosen, so they are what is counted.
     assert dedup.best_wide_per_key(rows, ["k"], order, rows.select("k").distinct()).count() == 3
+
+
+def test_new_records_are_stored_once(spark, tmp_path):
+    files = ChangeTable(spark, f"file://{tmp_path}/files", update.FILE)
+    raw = spark.createDataFrame([("p", 1, "a"), ("p", 1, "b"), ("q", None, "c")], "_file_path string, _file_modified_at int, job_id string")
+    first = update.new_records(raw, files, "job_id")
+    assert first.count() == 3 and first.inputFiles()
+    files.append(first.select(*update.FILE).filter("_file_path = 'p'").distinct())
+    later = update.new_records(raw, files, "job_id")
+    assert list(map(tuple, later.collect())) == [("q", None, "c")]
+    assert list(map(tuple, update.unseen(raw, files, later).collect())) == [("q", None, "c")]
